@@ -6,6 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from bibspark.operators import packed
+from bibspark.session import read_table
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return packed.p1_found(read_table(spark, d, "bib_records"))
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {"p1_found": p1_found}
