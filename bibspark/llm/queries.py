@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bibspark.llm import components, garbled, survivorship
+from bibspark.llm import canonical, components, garbled, survivorship
 from bibspark.session import read_table
 
 
@@ -23,5 +23,9 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return components.p5_found(read_table(spark, d, "duplicate_mappings"))
 
 
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return canonical.map_values(read_table(spark, d, "bib_records"), read_table(spark, d, "journals"), read_table(spark, d, "institutions"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p2_found": p2_found, "p4_found": p4_found, "p5_found": p5_found}
+    return {"p2_found": p2_found, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found}
