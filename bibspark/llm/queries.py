@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bibspark.llm import canonical, components, garbled, survivorship
+from bibspark.llm import canonical, components, garbled, linkage, names, survivorship
 from bibspark.session import read_table
 
 
@@ -14,6 +14,15 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return garbled.p2_found(read_table(spark, d, "bib_records"))
 
 
+def p3_entities(spark: SparkSession, d: str) -> DataFrame:
+    """Each mention with the entity it means."""
+    return names.entities(read_table(spark, d, "name_mentions"), read_table(spark, d, "institutions"), read_table(spark, d, "journals"))
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return names.p3_found(read_table(spark, d, "name_mentions"), read_table(spark, d, "institutions"), read_table(spark, d, "journals"))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     groups = components.p5_found(read_table(spark, d, "duplicate_mappings"))
     return survivorship.survivors(read_table(spark, d, "bib_records"), groups, read_table(spark, d, "source_files"))
@@ -27,5 +36,14 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return canonical.map_values(read_table(spark, d, "bib_records"), read_table(spark, d, "journals"), read_table(spark, d, "institutions"))
 
 
+def p7_matches(spark: SparkSession, d: str) -> DataFrame:
+    """The matches with their confidence."""
+    return linkage.link(read_table(spark, d, "bib_records"), read_table(spark, d, "dimensions_rows"), read_table(spark, d, "journals"))
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return p7_matches(spark, d).select("idx", "publication_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p2_found": p2_found, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found}
+    return {"p2_found": p2_found, "p3_found": p3_found, "p3_entities": p3_entities, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p7_found": p7_found, "p7_matches": p7_matches}
