@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+_written: dict[int, list[str]] = {}
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -22,9 +25,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and drop its lineage."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise ``df`` as a compressed table in the shared folder and read it back, without lineage.
+
+    The files survive the loss of executors; they are deleted when the driver ends or by ``release``.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/bibspark-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    _written.setdefault(id(spark.sparkContext), []).append(path)
+    if len(_written) == 1 and sum(map(len, _written.values())) == 1:
+        atexit.register(release, spark)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete what ``cut`` wrote; frames that were made from it can't be read any more."""
+    paths = _written.pop(id(spark.sparkContext), [])
+    try:
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        for p in paths:
+            target = jvm.org.apache.hadoop.fs.Path(p)
+            target.getFileSystem(conf).delete(target, True)
+    except Exception:  # the session has ended already
+        pass
 
 
 def parallelism(spark: SparkSession) -> int:
