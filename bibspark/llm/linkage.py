@@ -1,7 +1,7 @@
 """Problem 7: matching the records of two sources that share no key, each match with a confidence.
 
-Label-model linkage. Candidates are pairs that share a combination of two of their rarest title words,
-of a rare word and an author, or of authors and journal; single words would make hot keys. Heuristic
+Label-model linkage. Candidates are pairs that share a combination of two of their rarest title words (at
+least one of them rare), of such a word and an author, or of authors and journal; single words would make hot keys. Heuristic
 matching functions vote on each candidate (same, different, no opinion); a generative model learns
 from the votes alone how often each function is right in either class, and how far functions only
 repeat each other, and gives the posterior probability that the pair is one publication. Pairs above
@@ -36,7 +36,9 @@ from bibspark.llm.trie import fold
 from bibspark.operators.packed import split_field
 from bibspark.session import cut
 
-FREQUENT = 1e-3
+#: A word is frequent in so large a share of the rows, and in no fewer rows than this.
+FREQUENT = 2e-3
+FREQUENT_ROWS = 20
 RARE_WORDS = 5
 THRESHOLD = 0.5
 FUNCTIONS = ("title_words", "title_text", "first_author", "authors", "year", "journal", "kind", "numbers")
@@ -44,12 +46,10 @@ FUNCTIONS = ("title_words", "title_text", "first_author", "authors", "year", "jo
 _TAG = re.compile(r"<[^<>]{1,40}>|&[a-z]{2,8};")
 _CUT = re.compile(r"\s*(?:\.\.\.|…)\s*$")
 #: Words by which a related but separate publication differs from the one it belongs to.
-_KINDS = (
-    ("correction", re.compile(r"^(?:correct\w*|cor+ect\w*|crr?ection|corrction|erratum|errata|corrigend\w+|erraum)(?: to| for| in)?(?= )")),
-    ("reply", re.compile(r"^(?:rep+ly|reply|reily|response|answer|comments?|remarks?)(?: to comments)?(?: to| on)(?= )")),
-    ("review", re.compile(r"^(?:boo+k )?review of(?= )|^boo+k revie\w* of(?= )")),
-    ("retraction", re.compile(r"^retract\w+(?: of| note)?(?= )")),
-)
+_KINDS = {
+    "correction": "correction", "corrigendum": "correction", "erratum": "correction", "errata": "correction", "reply": "reply", "response": "reply", "comment": "reply", "comments": "reply", "retraction": "retraction", "retracted": "retraction",
+}
+_LEAD = frozenset("to on for of in comments".split())
 _TAILS = (
     ("2", re.compile(r" part (?:2|ii)$| ii further observations$| ii$")),
     ("3", re.compile(r" part (?:3|iii)$| iii$")),
@@ -93,12 +93,19 @@ def clean_title(title: str | None) -> tuple[str, bool, str]:
     short = bool(_CUT.search(t))
     t = fold(_CUT.sub("", t).strip("[] ."))
     kinds = []
-    for name, rx in _KINDS:
-        m = rx.match(t)
-        if m and len(t) > m.end() + 8:
-            kinds.append(name)
-            t = t[m.end() :].strip()
-            break
+    w = t.split()
+    kind = next((k for x, k in _KINDS.items() if w and (w[0] == x or (len(x) > 4 and close(w[0], x)))), "")
+    skip = 1
+    if not kind and len(w) > 3 and close(w[0], "book") and close(w[1], "review"):
+        kind, skip = "review", 2
+    elif not kind and len(w) > 3 and close(w[0], "review") and w[1] == "of":
+        kind = "review"
+    if kind:
+        while skip < len(w) and w[skip] in _LEAD:
+            skip += 1
+        if len(w) > skip + 2 and (skip > 1 or kind in ("correction", "retraction")):
+            kinds.append(kind)
+            t = " ".join(w[skip:])
     for name, rx in _TAILS:
         m = rx.search(t)
         if m:
@@ -253,14 +260,16 @@ def fit_label_model(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200)
 
 def _hash_keys(names, words, title, journal, year, frequent: dict[str, int]) -> list[str]:
     rare = sorted(words, key=lambda w: (frequent.get(w, 0), w))[:RARE_WORDS]
-    keys = [f"w|{a}|{b}" for a, b in combinations(sorted(rare), 2)]
-    keys += [f"a|{w}|{s}" for w in rare[:3] for s in names[:2]]
+    # two frequent words together are no key: too many titles share them
+    keys = [f"w|{a}|{b}" for a, b in combinations(sorted(rare), 2) if a not in frequent or b not in frequent]
+    # authors come in any order: the first one and the two that sort first
+    keys += [f"a|{w}|{s}" for w in rare[:3] for s in {*names[:1], *sorted(names)[:2]}]
     if len(words) <= 3 and title:
         keys += [f"t|{title}|{s}" for s in names[:3]]
         if journal and year:
             keys += [f"t|{title}|{journal}|{y}" for y in (year - 1, year, year + 1)]
     if len(names) > 1 and journal:
-        keys.append(f"s|{names[0]}|{names[1]}|{journal}")
+        keys.append(f"s|{'|'.join(sorted(names)[:2])}|{journal}")
     return keys
 
 
@@ -285,7 +294,7 @@ def link(records: DataFrame, others: DataFrame, journals: DataFrame, threshold:
             yield pd.DataFrame(out, columns=["side", "id", "ph", "title", "cut", "kind", "numbers", "names", "partial", "journal", "year", "words"]).astype({"year": "Int32"})
 
     rows = cut(a.unionByName(b).mapInPandas(parse, _PROFILE))
-    least = max(2, rows.count() * FREQUENT)
+    least = max(FREQUENT_ROWS, rows.count() * FREQUENT)
     frequent = {r.w: r.n for r in rows.select(F.explode("words").alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least).collect()}
     common = spark.sparkContext.broadcast(frequent)
 

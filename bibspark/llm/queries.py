@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bibspark.llm import canonical, components, garbled, linkage, names, survivorship
+from bibspark.llm import canonical, components, garbled, linkage, mixing, names, packing, spam, survivorship
 from bibspark.session import read_table
 
 
@@ -45,5 +45,25 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return p7_matches(spark, d).select("idx", "publication_id")
 
 
+def p8_packed(spark: SparkSession, d: str) -> DataFrame:
+    return packing.pack(read_table(spark, d, "documents"), read_table(spark, d, "pack_specs"))
+
+
+def p8_report(spark: SparkSession, d: str) -> DataFrame:
+    return packing.report(p8_packed(spark, d))
+
+
+def p9_mixed(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mix(read_table(spark, d, "documents"), read_table(spark, d, "mix_targets"))[0]
+
+
+def p9_report(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mix(read_table(spark, d, "documents"), read_table(spark, d, "mix_targets"))[1]
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return spam.spam_pages(read_table(spark, d, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p2_found": p2_found, "p3_found": p3_found, "p3_entities": p3_entities, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p7_found": p7_found, "p7_matches": p7_matches}
+    return {"p2_found": p2_found, "p3_found": p3_found, "p3_entities": p3_entities, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p7_found": p7_found, "p7_matches": p7_matches, "p8_packed": p8_packed, "p8_report": p8_report, "p9_mixed": p9_mixed, "p9_report": p9_report, "p10_found": p10_found}
