@@ -34,7 +34,7 @@ MIN_ROWS = 2
 #: Delimiter classes from the unmistakable to the doubtful; a field is split at the strongest it has.
 _STRONG = {"de": ";；|·\t\n\r", "id": ";；|·\t\n\r", "au": ";；|·\t\n\r", "c1": ";；|\t\n\r"}
 _ENTITY = r"&(?:[a-zA-Z]{2,8}|#\d{1,6}|#x[0-9a-fA-F]{1,5});"
-_LIST = re.compile(r"^\s*\[\s*(?:'.*'|\".*\")\s*,?\s*\]\s*$", re.S)
+_LIST = re.compile(r"^\s*\[\s*['\"].*['\"]\s*,?\s*\]\s*$", re.S)
 _LIST_ITEM = re.compile(r"'((?:[^'\\]|\\.|'(?!\s*(?:,\s*['\"]|,?\s*\]\s*$)))*)'|\"((?:[^\"\\]|\\.)*)\"", re.S)
 _QUOTED = r"\"(?:[^\"]|\"\")*\""
 #: A quoted value is one that a delimiter or the end of the field follows.
@@ -282,7 +282,8 @@ def explode_packed(df: DataFrame, id_col: str = "idx", fields: tuple[str, ...] =
                         ids += [i] * n
                         flds += [f] * n
                         poss += range(1, n + 1)
-            yield pd.DataFrame({"_id": ids, "fld": flds, "pos": pd.Series(poss, dtype="int32"), "val": out})
+            if ids:
+                yield pd.DataFrame({"_id": ids, "fld": flds, "pos": pd.Series(poss, dtype="int32"), "val": out})
 
     return cols.mapInPandas(run, f"_id {id_type}, fld string, pos int, val string").withColumnRenamed("_id", id_col)
 
