@@ -171,18 +171,17 @@ def votes(a: tuple, b: tuple) -> tuple[int, ...]:
         if (ca or cb) and len(wx) > 2 and len(wy) > 2:
             m = min(len(wx), len(wy)) - 1
             wx, wy = wx[:m], wy[:m]
-        rest = list(wy)
-        hit = 0
+        rest, over = list(wy), []
         for w in wx:
-            for k, v in enumerate(rest):
-                if close(w, v):
-                    hit += 1
-                    del rest[k]
-                    break
-        share = hit / max(len(wx), len(wy), 1)
+            hit = next((k for k, v in enumerate(rest) if close(w, v)), None)
+            if hit is None:
+                over.append(w)
+            else:
+                del rest[hit]
         text_sim = indel(x, y)
-        # word breaks may be mistyped: a near-identical text counts for its words, too
-        words = 1 if share >= 0.99 or (share >= 0.8 and text_sim >= 0.93) else -1 if share < 0.8 and text_sim < 0.93 else 0
+        # what is left on both sides must be one text with slips, not another place or species
+        left = indel("".join(over), "".join(rest)) if over or rest else 1.0
+        words = 1 if left == 1.0 or (left >= 0.7 and text_sim >= 0.9) else 0 if left >= 0.5 and text_sim >= 0.9 else -1
         text = 1 if text_sim >= 0.9 else -1 if text_sim < 0.82 else 0
         if na != nb and not (ca or cb):
             numbers = -1
@@ -268,6 +267,8 @@ def _hash_keys(names, words, title, journal, year, frequent: dict[str, int]) ->
         keys += [f"t|{title}|{s}" for s in names[:3]]
         if journal and year:
             keys += [f"t|{title}|{journal}|{y}" for y in (year - 1, year, year + 1)]
+    if names and journal and year:
+        keys += [f"y|{min(names)}|{journal}|{y}" for y in (year, year + 1)]
     if len(names) > 1 and journal:
         keys.append(f"s|{'|'.join(sorted(names)[:2])}|{journal}")
     return keys

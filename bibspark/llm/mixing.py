@@ -4,10 +4,13 @@ Systematic sampling. Every document of a source has the same expected number of
 source must supply divided by the tokens it has, but no more than ``max_repeats``. Expected copies are
 summed up along the source; with one random offset for the source, a document comes out once for every
 integer the sum crosses. So each document is used either floor or ceiling of the expectation and the
-source's total is met within one document's copies.
+source's total is met within one document's copies. Of a few offsets drawn the one that comes closest
+to the requested tokens is used.
 
-The running sum doesn't need a source in one task: a source is spread over buckets of bounded size,
-numbered within, and started at the number of documents in the buckets before (a table of buckets).
+Documents are lined up from the shortest to the longest, so that every stretch of sizes is used alike
+and the tokens follow the expectation, not only the number of documents. The running sum doesn't need a
+source in one task: a source is spread over buckets of bounded size (a class of sizes, then a part of
+it), numbered within, and started at the number of documents in the buckets before (a table of buckets).
 
 Total: ``total_tokens`` if given, else the tokens of the listed sources. Shares of sources without
 documents can't be supplied; a source at its cap stays below its share. The report shows both.
@@ -28,6 +31,8 @@ from bibspark.session import cut
 #: Documents in a bucket, the largest group that one task numbers.
 BUCKET = 200_000
 SEED = 42
+#: Offsets drawn for a source; a long document in or out then matters less in a small source.
+DRAWS = 16
 
 
 def _plan(sized: DataFrame, targets: DataFrame, total_tokens: int | None) -> DataFrame:
@@ -56,19 +61,25 @@ def mix(documents: DataFrame, targets: DataFrame, total_tokens: int | None = Non
     # listed sources only: a list of a few rows
     plan = cut(_plan(sized, targets, total_tokens))
     n = sized.count()
-    buckets = max(1, -(-4 * n // BUCKET))
-    used = sized.join(F.broadcast(plan.select("source", "copies")), "source").withColumn("bucket", F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(buckets)))
+    parts = max(1, -(-4 * n // BUCKET))
+    size_class = F.floor(F.log2(F.col("n_tokens").cast("double")) * 8)
+    bucket = size_class * parts + F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(parts))
+    used = sized.join(F.broadcast(plan.select("source", "copies")), "source").withColumn("bucket", bucket)
     sums = used.groupBy("source", "bucket").agg(F.count(F.lit(1)).alias("n"))
     w = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     start = sums.withColumn("start", F.coalesce(F.sum("n").over(w), F.lit(0))).select("source", "bucket", "start")
-    order = Window.partitionBy("source", "bucket").orderBy(F.xxhash64("doc_id", F.lit(seed + 1)), "doc_id", "n_tokens")
+    order = Window.partitionBy("source", "bucket").orderBy("n_tokens", F.xxhash64("doc_id", F.lit(seed + 1)), "doc_id")
     k = used.withColumn("k", F.row_number().over(order)).join(start, ["source", "bucket"])
-    # one offset in [0, 1) for each source
-    u = F.pmod(F.xxhash64("source", F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    # offsets in [0, 1) drawn for each source; the one whose tokens come closest to the request is used
+    draw = lambda j: F.pmod(F.xxhash64("source", F.lit(seed), F.lit(j)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     place = F.col("start") + F.col("k")
-    times = (F.floor(place * F.col("copies") + u) - F.floor((place - 1) * F.col("copies") + u)).cast("int")
-    out = k.withColumn("times", times).where("times > 0").select("doc_id", "source", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("copy"), "n_tokens")
-    reached = k.groupBy("source").agg(F.sum(times * F.col("n_tokens")).alias("tokens"), F.sum(times).alias("used"))
+    times = lambda u: (F.floor(place * F.col("copies") + u) - F.floor((place - 1) * F.col("copies") + u)).cast("int")
+    k = cut(k)
+    tried = k.groupBy("source").agg(F.max("copies").alias("copies"), F.sum(F.col("copies") * F.col("n_tokens")).alias("due"), *[F.sum(times(draw(j)) * F.col("n_tokens")).alias(f"t{j}") for j in range(DRAWS)])
+    best = tried.select("source", F.array_min(F.array(*[F.struct(F.abs(F.col(f"t{j}") - F.col("due")).alias("off"), F.lit(j).alias("j"), draw(j).alias("u")) for j in range(DRAWS)]))["u"].alias("u"))
+    k = k.join(F.broadcast(best), "source").withColumn("times", times(F.col("u")))  # a row for each listed source
+    out = k.where("times > 0").select("doc_id", "source", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("copy"), "n_tokens")
+    reached = k.groupBy("source").agg(F.sum(F.col("times") * F.col("n_tokens")).alias("tokens"), F.sum("times").alias("used"))
     rep = plan.join(reached, "source", "left").select("source", "target_share", "max_repeats", "documents", "available", "copies", "requested", F.coalesce("used", F.lit(0)).alias("used"), F.coalesce("tokens", F.lit(0)).alias("tokens"))
     total = rep.agg(F.sum("tokens").alias("all_tokens"))
     rep = rep.crossJoin(F.broadcast(total)).select(  # one row
