@@ -30,12 +30,17 @@ def ratio(a: str, b: str) -> float:
     return 100.0 if n == 0 or a == b else 200.0 * lcs(a, b) / n
 
 
+_seen: dict[str, np.ndarray] = {}
+
+
 def _histograms(texts: list[str]) -> np.ndarray:
-    out = np.zeros((len(texts), 40), dtype=np.int32)
-    for k, t in enumerate(texts):
-        codes = np.frombuffer(t.encode("utf-16-le"), dtype=np.uint16) % 40
-        out[k] = np.bincount(codes, minlength=40)
-    return out
+    """Counts of characters in 40 classes, kept for texts that come again in a worker's batches."""
+    if len(_seen) > 200_000:
+        _seen.clear()
+    for t in texts:
+        if t not in _seen:
+            _seen[t] = np.bincount(np.frombuffer(t.encode("utf-16-le", "surrogatepass"), dtype=np.uint16) % 40, minlength=40).astype(np.int16 if len(t) < 16_000 else np.int32)
+    return np.array([_seen[t] for t in texts])
 
 
 def ratios(left: pd.Series, right: pd.Series, least: float = 0.0) -> np.ndarray:
@@ -49,8 +54,9 @@ def ratios(left: pd.Series, right: pd.Series, least: float = 0.0) -> np.ndarray:
         no = {t: k for k, t in enumerate(names)}
         h = _histograms(names)
         ia, ib = np.array([no[t] for t in a]), np.array([no[t] for t in b])
-        n = h.sum(1)[ia] + h.sum(1)[ib]
-        apart = np.concatenate([np.abs(h[ia[k : k + 5000]] - h[ib[k : k + 5000]]).sum(1) for k in range(0, len(ia), 5000)])
+        size = h.sum(1, dtype=np.int64)
+        n = size[ia] + size[ib]
+        apart = np.concatenate([np.abs(h[ia[k : k + 5000]] - h[ib[k : k + 5000]]).sum(1, dtype=np.int64) for k in range(0, len(ia), 5000)])
         maybe = 100.0 * (n - apart) >= least * n
     else:
         maybe = np.ones(len(a), dtype=bool)

@@ -133,3 +133,9 @@ def chunks(c, width: int = 80) -> Column:
     """The text cut into pieces of ``width`` characters."""
     n = F.greatest(F.expr("0"), (F.length(_c(c)) - 1) / width).cast("int")
     return F.transform(F.sequence(F.lit(0), n), lambda i: F.substring(_c(c), i * width + 1, F.lit(width)))
+
+
+def percent(part, whole) -> Column:
+    """100 * part / whole to one decimal, half up, by whole numbers so that no binary fraction tips it."""
+    a, b = _c(part).cast("bigint"), _c(whole).cast("bigint")
+    return F.when(b > 0, F.floor((2000 * a + b) / (2 * b)) / 10.0).otherwise(0.0)

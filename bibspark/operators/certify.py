@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bibspark.functions.text import filled, number
+from bibspark.functions.text import filled, number, percent
 from bibspark.schema import LAYER1_MANDATORY, LAYER1_RECOMMENDED, YEARS
 
 
@@ -22,7 +22,7 @@ def layer1(df: DataFrame) -> DataFrame:
         row("record_count", F.when(F.col("n") > 0, "PASS").otherwise("FAIL"), F.col("n")),
         row("mandatory_columns", F.lit("FAIL" if gone else "PASS"), F.lit(len(need))),
         row("recommended_columns", F.lit("WARNING" if less else "PASS"), F.lit(len(LAYER1_RECOMMENDED) - len(less))),
-        *[row(f"filled_{c}", F.when(pct(c) < 50, "WARNING").otherwise("PASS"), F.round(pct(c), 1)) for c in need],
+        *[row(f"filled_{c}", F.when(pct(c) < 50, "WARNING").otherwise("PASS"), percent(c, "n")) for c in need],
         row("overall", F.when(ok, "PASS").otherwise("FAIL"), ok.cast("int")),
     ]
     return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
@@ -46,8 +46,7 @@ def year_range(df: DataFrame) -> DataFrame:
 def coverage(df: DataFrame, columns: list[str]) -> DataFrame:
     """(field, present, percentage) of filled values."""
     one = df.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(filled(F.col(c).cast("string"))).alias(c) for c in columns])
-    pct = lambda c: F.round(F.when(F.col("n") > 0, F.col(c) / F.col("n") * 100).otherwise(0.0), 1)
-    return one.select(F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("present"), pct(c).alias("percentage")) for c in columns])).alias("r")).select("r.*")
+    return one.select(F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("present"), percent(c, "n").alias("percentage")) for c in columns])).alias("r")).select("r.*")
 
 
 def certification(layer1_pass: bool, reread_count: int, count: int) -> dict:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bibspark.functions.text import filled, is_blank, number, strip
+from bibspark.functions.text import filled, is_blank, number, percent, strip
 from bibspark.schema import ALIASES, FILE_HINTS, INDICATORS, INTERNAL, MANDATORY, MAPPINGS, OPTIONAL_COLUMNS, PATTERNS
 
 EMPTY_WARNING = 10.0
@@ -76,7 +76,7 @@ def field_results(df: DataFrame, database: str, original: list[str] | None = Non
             mapped, missing = twice, F.when(F.col("part") == "mapped", F.col("total") - twice).otherwise(F.col("empty"))
             pct = _share(missing, F.col("total"))
         named = F.when((F.col("part") == "mapped") & (F.col("source_field") != F.col("target_field")) & (mapped <= 0), "NOT_AVAILABLE_FROM_SOURCE").otherwise(F.when(pct < EMPTY_WARNING, "PASS").otherwise("WARNING") if legacy_counts else status)
-        parts.append(j.select("source_field", "target_field", mapped.alias("mapped_records"), missing.alias("missing_records"), F.round(pct, 1).alias("null_percentage"), named.alias("status")))
+        parts.append(j.select("source_field", "target_field", mapped.alias("mapped_records"), missing.alias("missing_records"), percent(missing, "total").alias("null_percentage"), named.alias("status")))
     gone = [(t, t in set(mapping.values())) for t in MANDATORY if t not in df.columns]
     lost = [(s, t) for s, t in used if t not in df.columns]
     if gone or lost:

@@ -128,7 +128,7 @@ def field_results() -> str:
     """Mandatory tags, then mapped source columns, of the tagged table."""
     have = [t for t in TAGS if t.lower() in _TAGS]
     rows = [(t, t) for t in MANDATORY] + [(s, t) for s, t in MAPPINGS["Web of Science"].items() if t in have]
-    one = "SELECT '{s}' AS source_field, '{t}' AS target_field, count(*) - {e} AS mapped_records, {e} AS missing_records, round(({e})::DOUBLE / count(*) * 100, 1) AS null_percentage, CASE WHEN ({e})::DOUBLE / count(*) * 100 < 10 THEN 'PASS' ELSE 'WARNING' END AS status FROM bib_records"
+    one = "SELECT '{s}' AS source_field, '{t}' AS target_field, count(*) - {e} AS mapped_records, {e} AS missing_records, floor((2000 * ({e}) + count(*)) // (2 * count(*))) / 10.0::DOUBLE AS null_percentage, CASE WHEN ({e})::DOUBLE / count(*) * 100 < 10 THEN 'PASS' ELSE 'WARNING' END AS status FROM bib_records"
     return " UNION ALL ".join(one.format(s=s, t=t, e=empty(t.lower())) for s, t in rows)
 
 
@@ -188,7 +188,7 @@ def layer1() -> str:
     need = "PT AU TI SO PY DT UT".split()
     pct = {t: f"count(*) FILTER ({filled(t.lower())})::DOUBLE / count(*) * 100" for t in need}
     rows = ["SELECT 'record_count' AS \"check\", CASE WHEN count(*) > 0 THEN 'PASS' ELSE 'FAIL' END AS status, count(*)::DOUBLE AS value FROM compat", "SELECT 'mandatory_columns', 'PASS', 7.0", "SELECT 'recommended_columns', 'PASS', 10.0"]
-    rows += [f"SELECT 'filled_{t}', CASE WHEN {p} < 50 THEN 'WARNING' ELSE 'PASS' END, round({p}, 1) FROM compat" for t, p in pct.items()]
+    rows += [f"SELECT 'filled_{t}', CASE WHEN {p} < 50 THEN 'WARNING' ELSE 'PASS' END, floor((2000 * count(*) FILTER ({filled(t.lower())}) + count(*)) // (2 * count(*))) / 10.0::DOUBLE FROM compat" for t, p in pct.items()]
     rows.append("SELECT 'overall', CASE WHEN count(*) > 0 THEN 'PASS' ELSE 'FAIL' END, (count(*) > 0)::INT::DOUBLE FROM compat")
     return f"WITH {cleaned()}, {compat()} " + " UNION ALL ".join(rows)
 
@@ -203,7 +203,7 @@ def oracle_sql() -> dict[str, str]:
 SELECT CASE WHEN after_cleaning > 0 THEN 100 ELSE 55 END AS overall_score, CASE WHEN (SELECT count(*) FROM i) < after_dedup * 0.5 THEN 'PASS' ELSE 'WARNING' END AS metadata_status, CASE WHEN after_cleaning > 0 THEN 'A' ELSE 'D' END AS grade FROM c"""
     dim_tags = {"TI": "title", "AU": "authors", "SO": "source_title", "PY": "pubyear", "TC": "times_cited", "UT": "publication_id"}
     dim_map = [("Title", "TI"), ("Authors", "AU"), ("Source title", "SO")]
-    dim_one = "SELECT '{s}' AS source_field, '{t}' AS target_field, count(*) - {e} AS mapped_records, {e} AS missing_records, round(({e})::DOUBLE / count(*) * 100, 1) AS null_percentage, CASE WHEN ({e})::DOUBLE / count(*) * 100 < 10 THEN 'PASS' ELSE 'WARNING' END AS status FROM dimensions_rows"
+    dim_one = "SELECT '{s}' AS source_field, '{t}' AS target_field, count(*) - {e} AS mapped_records, {e} AS missing_records, floor((2000 * ({e}) + count(*)) // (2 * count(*))) / 10.0::DOUBLE AS null_percentage, CASE WHEN ({e})::DOUBLE / count(*) * 100 < 10 THEN 'PASS' ELSE 'WARNING' END AS status FROM dimensions_rows"
     dim_rows = [dim_one.format(s=t, t=t, e=empty(dim_tags[t])) for t in MANDATORY if t in dim_tags] + [dim_one.format(s=s, t=t, e=empty(dim_tags[t])) for s, t in dim_map]
     dim_targets = set(MAPPINGS["Dimensions"].values())
     dim_rows += [
@@ -259,7 +259,7 @@ SELECT cov AS field_coverage_score, round(cov * 0.3 + populated * 25 + passed /
         "layer1_checks": layer1(),
         "author_format_sample": "WITH s AS (SELECT au FROM (SELECT au FROM bib_records ORDER BY idx LIMIT 50) WHERE au IS NOT NULL) SELECT count(*) AS sampled, count(*) FILTER (contains(au, ',')) AS with_comma, CASE WHEN count(*) FILTER (contains(au, ',')) > 0.5 * count(*) THEN 'PASS' ELSE 'WARNING' END AS status FROM s",
         "year_range": "SELECT min(py) AS first_year, max(py) AS last_year, count(py) AS valid_years, CASE WHEN min(py) >= 1900 AND max(py) <= 2030 THEN 'PASS' ELSE 'WARNING' END AS status FROM bib_records",
-        "doi_coverage": " UNION ALL ".join(f"SELECT '{t.upper()}' AS field, count(*) FILTER ({filled(t)}) AS present, round(count(*) FILTER ({filled(t)})::DOUBLE / count(*) * 100, 1) AS percentage FROM bib_records" for t in ("di", "ab")),
+        "doi_coverage": " UNION ALL ".join(f"SELECT '{t.upper()}' AS field, count(*) FILTER ({filled(t)}) AS present, floor((2000 * count(*) FILTER ({filled(t)}) + count(*)) // (2 * count(*))) / 10.0::DOUBLE AS percentage FROM bib_records" for t in ("di", "ab")),
         "screening_log": f"WITH {KEPT} SELECT record_id, substr(coalesce(ti, ''), 1, 100) AS title, source_file, 'included' AS decision, 'Passed all validation criteria' AS reason FROM kept UNION ALL SELECT record_id, 'Duplicate - excluded', source_file, 'excluded', concat('Duplicate of ', coalesce(duplicate_of, 'None'), ' (', coalesce(match_type, 'None'), ', score=', printf('%.1f', coalesce(similarity_score, 0.0)), ')') FROM duplicate_mappings",
         "excluded_studies": "SELECT record_id, concat('Duplicate (', coalesce(match_type, 'None'), ')') AS excluded_reason, duplicate_of, similarity_score, source_file FROM duplicate_mappings",
         "prisma_counts": f"{K} {counts}",

@@ -15,8 +15,11 @@ HEADER = ["FN Clarivate Analytics Web of Science", "VR 1.0"]
 WIDTH = 80
 
 
-def _wrapped(value: Column, lead: str) -> Column:
-    return F.transform(chunks(value, WIDTH), lambda c, i: F.concat(F.when(i == 0, F.lit(lead)).otherwise(F.lit("   ")), c))
+def _lines_of(f: Column) -> Column:
+    """The lines of one field: none if it is blank and may be, several if it is long and may be wrapped."""
+    v, lead = f["v"], f["lead"]
+    many = F.transform(chunks(v, WIDTH), lambda c, i: F.concat(F.when(i == 0, lead).otherwise(F.lit("   ")), c))
+    return F.when((v == "") & ~f["always"], F.array().cast("array<string>")).when(f["wrap"] & (F.length(v) > WIDTH), many).otherwise(F.array(F.concat(lead, v)))
 
 
 def tagged_lines(df: DataFrame, flavour: str = "export") -> DataFrame:
@@ -32,20 +35,15 @@ def tagged_lines(df: DataFrame, flavour: str = "export") -> DataFrame:
     af = strip(text("AF"))
     value["C1"] = F.when((value["C1"] == "") & (af != ""), F.concat(F.lit("[Unknown] "), af)).otherwise(value["C1"])
     value["RP"] = F.when((value["RP"] == "") & (af != ""), strip(F.element_at(F.split(af, ";"), 1))).otherwise(value["RP"])
-    lines = []
+    fields = []
     for t in TAGS + EXTRA_TAGS:
-        if t not in value:
-            continue
-        v = value[t] if export else squeeze(value[t])
-        lead = "PT " if t == "PT" and export else f"{t}  "
-        one = F.array(F.concat(F.lit(lead), v))
-        if t in WRAPPED:
-            one = F.when(F.length(v) > WIDTH, _wrapped(v, lead)).otherwise(one)
-        if t not in TEXT_ALWAYS or not export:
-            one = F.when(v == "", F.array().cast("array<string>")).otherwise(one)
-        lines.append(one)
+        if t in value:
+            v = value[t] if export else squeeze(value[t])
+            lead = "PT " if t == "PT" and export else f"{t}  "
+            fields.append(F.struct(F.lit(lead).alias("lead"), v.alias("v"), F.lit(t in WRAPPED).alias("wrap"), F.lit(t in TEXT_ALWAYS and export).alias("always")))
     end = [F.array(F.lit("ER"), F.lit(""))] if export else [F.array(F.lit(""))]
-    return df.select("idx", F.concat(*lines, *end).alias("lines"))
+    # a lambda's variable is computed once, however often its lines refer to it
+    return df.select("idx", F.concat(F.flatten(F.transform(F.array(*fields), _lines_of)), *end).alias("lines"))
 
 
 def write_tagged(df: DataFrame, path: str, flavour: str = "export") -> None:
