@@ -15,6 +15,11 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, also inside lambdas, where Spark shares nothing."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def strip(c) -> Column:
     """Without white space of any kind at either end (``trim`` knows the blank only)."""
     return F.regexp_replace(_c(c), _EDGE, "")

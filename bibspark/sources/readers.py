@@ -9,7 +9,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from bibspark.functions.text import strip
+from bibspark.functions.text import let, strip
 from bibspark.operators.mapping import detect_database, to_tags
 from bibspark.schema import EXTRA_TAGS, TAGS
 
@@ -66,21 +66,28 @@ def stamp(df: DataFrame, file: Column) -> DataFrame:
 def _fold(block: Column) -> Column:
     """(tag, value) of one tagged block: hard wraps of 80 characters joined, list lines by ``;``."""
     tag = F.substring(block, 1, 2)
-    lines = F.split(F.regexp_replace(F.substring(block, F.lit(3), F.length(block)), "^ {1,2}", ""), "\\n {3}")
-    n = F.size(lines)
-    hard = (n > 1) & F.forall(F.slice(lines, F.lit(1), F.greatest(n - 1, F.lit(1))), lambda x: F.length(x) == 80)
-    value = F.when(hard, F.array_join(lines, "")).when(tag.isin(*LISTS), F.array_join(F.transform(lines, strip), "; ")).otherwise(F.array_join(F.transform(lines, strip), " "))
-    return F.struct(tag.alias("tag"), strip(value).alias("value"))
+
+    def join(lines: Column) -> Column:
+        n = F.size(lines)
+        hard = F.forall(F.slice(lines, F.lit(1), F.greatest(n - 1, F.lit(1))), lambda x: F.length(x) == 80)
+        many = F.when(hard, F.array_join(lines, "")).otherwise(F.when(tag.isin(*LISTS), F.array_join(F.transform(lines, strip), "; ")).otherwise(F.array_join(F.transform(lines, strip), " ")))
+        return F.when(n == 1, F.element_at(lines, 1)).otherwise(many)
+
+    text = F.regexp_replace(F.substring(block, F.lit(3), F.length(block)), "^ {1,2}", "")
+    return F.struct(tag.alias("tag"), strip(let(F.split(text, "\\n {3}"), join)).alias("value"))
 
 
 def parse_tagged(df: DataFrame, text: str = "value") -> DataFrame:
     """One row for each tagged record text -> a column for each tag that the records know."""
-    body = F.regexp_replace(F.regexp_replace(F.col(text), "\r", ""), "^﻿", "")
-    body = F.regexp_replace(body, "(?m)^(FN|VR)( [^\\n]*)?\\n?", "")
-    body = F.regexp_replace(body, "(?m)^E[RF] *$\\n?", "")
+    body = F.regexp_replace(F.translate(F.col(text), "\r\ufeff", ""), "(?m)^(?:FN|VR|E[RF])(?: [^\\n]*)?(?:\\n|$)", "")
     blocks = F.filter(F.split(F.regexp_replace(body, "^\\s+|\\s+$", ""), "\\n(?=[A-Z][A-Z0-9](?: |\\n|$))"), lambda b: b.rlike("^[A-Z][A-Z0-9]( |$)"))
-    m = df.withColumn("_e", F.transform(blocks, _fold)).where(F.size("_e") > 0)
-    m = m.withColumn("_m", F.map_from_entries(F.array_distinct(F.transform("_e", lambda e: F.struct(e["tag"], F.element_at(F.filter("_e", lambda x: x["tag"] == e["tag"]), 1)["value"])))))
+
+    def as_map(e: Column) -> Column:
+        # the first of repeated tags counts
+        once = F.filter(e, lambda x, i: F.array_position(F.transform(e, lambda y: y["tag"]), x["tag"]) == i + 1)
+        return F.map_from_entries(once)
+
+    m = df.withColumn("_m", let(F.transform(blocks, _fold), as_map))
     return m.select(*[c for c in df.columns if c != text], *[F.try_element_at("_m", F.lit(t)).alias(t) for t in TAGS + EXTRA_TAGS])
 
 
