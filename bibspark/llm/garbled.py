@@ -90,12 +90,12 @@ def _acceptable(ch: str) -> bool:
 _MID = set("ƒˆ˜Œ‹›šŽžŸ√∂∑∏∫ΩæøˇˉŁł₧⌐¬¢£¥├┬╬┼╞ΓÎ")
 
 _RUN = re.compile(r"[^\x00-\x7f]{2,}")
-_LATIN_HIGH_RUN = re.compile(r"[À-ÿĂ-ſ]{3,}")
+_LATIN_HIGH_RUN = re.compile(r"[À-ÿĂ-ſ]{4,}")
 _CYR_WORD = re.compile(r"[Ѐ-ӿ]+")
 #: Upper case inside a word after lower case: Cyrillic read with the case-swapped KOI8 layout.
 _SWAPPED = re.compile(r"\b[а-яё][А-ЯЁ]{2,}")
 #: A word half Latin, half Cyrillic: the whole field wasn't Cyrillic.
-_MIXED_WORD = re.compile(r"[A-Za-z][Ѐ-ӿ]|[Ѐ-ӿ][A-Za-z]")
+_MIXED_WORD = re.compile(r"[A-Za-zÀ-ÿ][Ѐ-ӿ]|[Ѐ-ӿ][A-Za-zÀ-ÿ]")
 #: The no-break space inside a sequence turned into a plain one on the way.
 _SPACED = (("ÃƒÂ ", "ÃƒÂ\xa0"), ("Ã  ", "Ã\xa0 "), ("Ã ", "Ã\xa0 "))
 _LOST_MARK = re.compile("�")
@@ -115,10 +115,11 @@ def _weight(ch: str) -> int:
 
 
 def cost(text: str) -> int:
-    """Garbling cost: unusual characters weigh more, and so do long runs of accented letters."""
+    """Garbling cost: unusual characters weigh more, so do long runs of accented letters and words of two scripts."""
     n = sum(_weight(c) for run in re.findall(r"[^\x00-\x7f]+", text) for c in run)
     n += sum(2 * len(m) for m in _LATIN_HIGH_RUN.findall(text))
     n += sum(2 * len(m) for m in _SWAPPED.findall(text))
+    n += 3 * len(_MIXED_WORD.findall(text))
     return n
 
 
@@ -146,6 +147,16 @@ def _peel_cyrillic(text: str, read_as: str, meant: str) -> str | None:
     return out if letters and cyr >= 0.9 * len(letters) and not _MIXED_WORD.search(out) else None
 
 
+def _peel_cyrillic_words(text: str, read_as: str, meant: str) -> str:
+    """As above for single words of a text that is Cyrillic otherwise."""
+
+    def one(m: re.Match) -> str:
+        t = _peel_cyrillic(m.group(), read_as, meant)
+        return m.group() if t is None else t
+
+    return _LATIN_HIGH_RUN.sub(one, text)
+
+
 def repair(text: str) -> str:
     """The text with every layer peeled that lowers the cost."""
     for a, b in _SPACED:
@@ -161,8 +172,11 @@ def repair(text: str) -> str:
                 if t != text and (c := cost(t)) < best_cost:
                     best, best_cost = t, c
         if (_LATIN_HIGH_RUN.search(text) or _SWAPPED.search(text)):
+            some = bool(_CYR_WORD.search(text))
             for a, b in CYRILLIC:
                 t = _peel_cyrillic(text, a, b)
+                if t is None and some and (w := _peel_cyrillic_words(text, a, b)) != text and (c := cost(w)) < best_cost:
+                    best, best_cost = w, c
                 if t is not None and (c := cost(t)) < 0.7 * best_cost:
                     best, best_cost = t, c
         if best is text:

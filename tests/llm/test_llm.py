@@ -37,6 +37,11 @@ def test_cyrillic_read_as_western():
     assert garbled.examine(t.encode("cp1251").decode("latin-1"), "ab") == (True, t)
 
 
+def test_cyrillic_words_and_doubled_letters():
+    assert garbled.examine("зависят от параметры ñðåäû. Показано", "ab") == (True, "зависят от параметры среды. Показано")
+    assert garbled.examine("DruruÃ§Ã£Ã£o K", "au") == (True, "Druruçããо K".replace("о", "o"))
+
+
 @pytest.mark.parametrize("text", [*TEXTS, "ESPAÑOLA, REGIÃO, AVALIAÇÃO", "Is it so? Observations", "How? We ask", "", None, "plain", "SANTÉ” “À L’ÉCOLE”", "Kanduççãoo"])
 def test_clean_text_stays(text):
     assert garbled.examine(text, "ti") == (False, None)
