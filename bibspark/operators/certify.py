@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+import os
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,6 +52,37 @@ def coverage(df: DataFrame, columns: list[str]) -> DataFrame:
     return one.select(F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("present"), percent(c, "n").alias("percentage")) for c in columns])).alias("r")).select("r.*")
 
 
+def required_fields(df: DataFrame, fields: tuple[str, ...] = ("AU", "TI", "SO", "PY")) -> list[str]:
+    """The fields without which a dataset can't be analysed and that it lacks."""
+    return [f for f in fields if f not in df.columns]
+
+
+def file_hash(path: str) -> str:
+    """First 16 digits of the SHA-256 of a file's bytes."""
+    h = hashlib.sha256()
+    with open(path, "rb") as f:
+        while block := f.read(1 << 20):
+            h.update(block)
+    return h.hexdigest()[:16]
+
+
+def certification_id(path: str) -> str:
+    return f"cert_{file_hash(path)}"
+
+
+def certification_checks(audit: dict, folder: str, dataset: str) -> dict[str, bool]:
+    """Five checks of a finished run, from its audit document and its files."""
+    stages, cert = audit.get("stages") or {}, audit.get("r_certification") or {}
+    path = os.path.join(folder, dataset)
+    return {
+        "stages_passed": bool(stages) and all(x.get("status") == "PASS" for x in stages.values()),
+        "certified": bool(cert.get("certified")) or bool(cert) and all(isinstance(x, dict) and x.get("success") for x in cert.values()),
+        "no_errors": not audit.get("errors"),
+        "dataset_exists": os.path.exists(path),
+        "dataset_filled": os.path.isfile(path) and os.path.getsize(path) > 0 or os.path.isdir(path) and any(os.path.getsize(os.path.join(path, n)) for n in os.listdir(path)),
+    }
+
+
 def certification(layer1_pass: bool, reread_count: int, count: int) -> dict:
     """Certified if the structure holds and the written text reads back to as many records."""
     layer2 = count > 0 and reread_count == count

@@ -27,6 +27,7 @@ class State:
     included: DataFrame | None = None
     excluded: DataFrame | None = None
     screening: DataFrame | None = None
+    mapping: dict = field(default_factory=dict)
     certification: dict = field(default_factory=dict)
     counts: dict = field(default_factory=dict)
     quality: dict = field(default_factory=dict)
@@ -96,6 +97,7 @@ class Pipeline:
         db = mapping.detect_database(s.imported.columns)
         f, k = mapping.field_results(s.cleaned, db), mapping.preservation(s.imported, s.cleaned)
         s.counts["mapping"] = mapping.scores(f, k).first().asDict()
+        s.mapping = {"Field_Mapping": f, "Metadata": k, "Summary": mapping.scores(f, k)}
 
     def _compat(self, s: State) -> None:
         s.compatible = compat.compatible(s.cleaned, keep_internal=True)
@@ -133,6 +135,11 @@ class Pipeline:
         readers.provenance(s.imported).write.mode("overwrite").json(path("Provenance_Log.json"))
         doc = {"pipeline_stages": s.log, "stages": {x["stage"]: x for x in s.log}, "r_certification": s.certification, "errors": s.errors, "statistics": s.counts, "quality": s.quality}
         sinks.write_json(doc, path("Audit_Log.json"))
+        if s.mapping:
+            sinks.write_mapping_report(s.mapping, path("Mapping_Report"))
+        sinks.write_json(s.certification, path("R_Validation.json"))
+        with open(path("PRISMA_Flow.txt"), "w", encoding="utf-8") as f:
+            f.write(sinks.flow_text(s.counts, s.counts.get("duplicates", {})))
         report = sinks.markdown("Execution summary", {"Stages": s.log, "Quality": [s.quality], "Certification": [{k: v for k, v in s.certification.items() if k != "analysis"}], "Analysis": [s.certification.get("analysis", {})]})
         with open(path("Execution_Summary.md"), "w", encoding="utf-8") as f:
             f.write(report)

@@ -147,7 +147,7 @@ def report(records: list[FileRecord], version: str = "2.0.0") -> dict:
     low = [r.name for r in records if level(r.confidence) == "LOW"]
     return {
         "framework_version": version,
-        "provenance": {"module": "MultiDatabaseDiscoveryEngine"},
+        "provenance": {"module": __name__},
         "identification": [r.to_dict() for r in records],
         "summary": {"files": len(records), "databases": sorted({r.database_source for r in records})},
         "warnings": {"low_confidence": low} if low else None,

@@ -109,6 +109,19 @@ def markdown(title: str, tables: dict[str, list[dict]]) -> str:
     return "\n".join(out)
 
 
+def flow_text(counts: dict, duplicates: dict[str, int]) -> str:
+    """The counts of the stages as plain text."""
+    rows = [("Records imported", counts.get("imported", 0)), ("Duplicates removed", sum(duplicates.values())), *[(f"  {k}", v) for k, v in sorted(duplicates.items())]]
+    rows += [("After deduplication", counts.get("after_dedup", 0)), ("After cleaning", counts.get("after_cleaning", 0)), ("Included", counts.get("after_cleaning", 0))]
+    return "\n".join(f"{name:<24}{n:>12,}" for name, n in rows) + "\n"
+
+
+def write_mapping_report(sheets: dict[str, DataFrame], folder: str) -> None:
+    """One CSV for each sheet: summary, field mapping, unmapped columns, metadata preservation."""
+    for name, df in sheets.items():
+        df.coalesce(1).write.mode("overwrite").option("header", True).csv(os.path.join(folder, name))  # a few dozen rows each
+
+
 def verify_outputs(folder: str, names: list[str]) -> dict[str, bool]:
     """Whether each file or folder is there and not empty."""
     ok = {}

@@ -122,7 +122,13 @@ def test_pipeline_over_a_folder(spark, tmp_path):
     assert s.counts["duplicates"] == {"doi_exact": 1, "title_similarity": 1}
     assert s.certification["certified"] and s.quality["grade"] in "ABCDF"
     assert all(sinks.verify_outputs(out, ["Master_Dataset.csv", "Bibliometrix_Compatible.csv", "Bibliometrix_Compatible.txt", "Audit_Log.json", "Execution_Summary.md"]).values())
-    assert json.load(open(os.path.join(out, "Audit_Log.json")))["pipeline_stages"]
+    audit = json.load(open(os.path.join(out, "Audit_Log.json")))
+    assert audit["pipeline_stages"]
+    assert all(certify.certification_checks(audit, out, "Bibliometrix_Compatible.txt").values())
+    assert len(certify.certification_id(os.path.join(out, "PRISMA_Flow.txt"))) == 21
+    assert "Records imported" in open(os.path.join(out, "PRISMA_Flow.txt")).read()
+    assert all(sinks.verify_outputs(out, ["Mapping_Report", "R_Validation.json"]).values())
+    assert certify.required_fields(s.compatible) == []
     assert sinks.read_audit(os.path.join(out, "none.json")) == []
 
 
