@@ -46,6 +46,15 @@ def leaders(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     )
 
 
+def classes(nodes: DataFrame) -> DataFrame:
+    """One node for each distinct text of a block, the first of its rows.
+
+    Copies of a text fare alike: if the first is a leader, it is the keeper of the others; if it is a
+    duplicate, its keeper is theirs. So pairs are made between distinct texts only.
+    """
+    return nodes.groupBy(*[c for c in nodes.columns if c != "idx"]).agg(F.min("idx").alias("idx"))
+
+
 def _pairs(nodes: DataFrame, bound: Column, score: Column, threshold: float) -> DataFrame:
     """Pairs i < j of one block whose length bound and then score reach the threshold."""
     a = nodes.select("block", *[F.col(c).alias(f"{c}_a") for c in nodes.columns if c != "block"])
@@ -54,9 +63,16 @@ def _pairs(nodes: DataFrame, bound: Column, score: Column, threshold: float) ->
     return both.withColumn("score", score).where(F.col("score") >= threshold).select("block", F.col("idx_a").alias("i"), F.col("idx_b").alias("j"), "score")
 
 
-def _scored(dups: DataFrame, pairs: DataFrame, match_type: str) -> DataFrame:
-    p = pairs.select(F.col("i").alias("keep"), F.col("j").alias("idx"), "score").dropDuplicates(["keep", "idx"])
-    return dups.join(p, ["idx", "keep"]).select("idx", "keep", F.lit(match_type).alias("match_type"), F.col("score").alias("similarity_score"))
+def _expand(nodes: DataFrame, firsts: DataFrame, pairs: DataFrame, match_type: str) -> DataFrame:
+    """Keepers of the distinct texts, brought to all their rows."""
+    keys = [c for c in nodes.columns if c != "idx"]
+    found = leaders(firsts, pairs).join(pairs.select(F.col("i").alias("keep"), F.col("j").alias("idx"), "score"), ["idx", "keep"]).withColumnRenamed("idx", "rep")
+    members = nodes.join(firsts.withColumnRenamed("idx", "rep"), keys).select("idx", "rep")
+    return (
+        members.join(found, "rep", "left")
+        .select("idx", F.coalesce("keep", "rep").alias("keep"), F.lit(match_type).alias("match_type"), F.coalesce("score", F.lit(100.0)).alias("similarity_score"))
+        .where("idx <> keep")
+    )
 
 
 def title_nodes(df: DataFrame) -> DataFrame:
@@ -69,33 +85,25 @@ def _length_bound(a: str, b: str, threshold: float) -> Column:
     return 200 * F.least(n, m) >= threshold * (n + m)
 
 
-def title_pairs(df: DataFrame, threshold: float = TITLE_THRESHOLD) -> DataFrame:
-    """(block, i, j, score): titles of one block at least ``threshold`` alike.
-
-    Equal titles are compared once: pairs are found between the distinct titles of a block and brought
-    back to rows by a join, so copies don't multiply alignments.
-    """
+def title_classes(df: DataFrame) -> DataFrame:
+    """(idx, representative): the first row with the same normalised title."""
     nodes = title_nodes(df)
-    distinct = nodes.groupBy("block", "t").agg(F.min("idx").alias("idx"))
-    near = _pairs_of_titles(distinct, threshold)
-    same = distinct.select("block", F.col("t").alias("t_a"), F.col("t").alias("t_b"), F.lit(100.0).alias("score"))
-    all_near = near.unionByName(same)
-    a = nodes.select("block", F.col("t").alias("t_a"), F.col("idx").alias("x"))
-    b = nodes.select("block", F.col("t").alias("t_b"), F.col("idx").alias("y"))
-    rows = all_near.join(a, ["block", "t_a"]).join(b, ["block", "t_b"]).where("x <> y")
-    return rows.select("block", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"), "score").dropDuplicates(["i", "j"])
+    return nodes.join(classes(nodes).withColumnRenamed("idx", "representative"), ["block", "t"]).select("idx", "representative")
+
+
+def title_pairs(df: DataFrame, threshold: float = TITLE_THRESHOLD) -> DataFrame:
+    """(block, i, j, score): distinct titles of one block at least ``threshold`` alike, by their first rows."""
+    return _title_pairs(classes(title_nodes(df)), threshold)
 
 
-def _pairs_of_titles(distinct: DataFrame, threshold: float) -> DataFrame:
-    a = distinct.select("block", F.col("t").alias("t_a"))
-    b = distinct.select("block", F.col("t").alias("t_b"))
-    both = a.join(b, "block").where(F.col("t_a") < F.col("t_b")).where(_length_bound("t_a", "t_b", threshold))
-    return both.withColumn("score", indel_ratio(F.col("t_a"), F.col("t_b"), threshold)).where(F.col("score") >= threshold)
+def _title_pairs(firsts: DataFrame, threshold: float) -> DataFrame:
+    return _pairs(firsts, _length_bound("t_a", "t_b", threshold), indel_ratio(F.col("t_a"), F.col("t_b"), threshold), threshold)
 
 
 def title_duplicates(df: DataFrame, threshold: float = TITLE_THRESHOLD) -> DataFrame:
-    pairs = cut(title_pairs(df, threshold))
-    return _scored(leaders(title_nodes(df), pairs), pairs, "title_similarity")
+    nodes = title_nodes(df)
+    firsts = cut(classes(nodes))
+    return _expand(nodes, firsts, cut(_title_pairs(firsts, threshold)), "title_similarity")
 
 
 def author_nodes(df: DataFrame) -> DataFrame:
@@ -108,17 +116,17 @@ def author_nodes(df: DataFrame) -> DataFrame:
     )
 
 
-def author_pairs(df: DataFrame, threshold: float = TITLE_THRESHOLD, author_threshold: float = AUTHOR_THRESHOLD) -> DataFrame:
-    nodes = author_nodes(df)
+def author_pairs(firsts: DataFrame, threshold: float = TITLE_THRESHOLD, author_threshold: float = AUTHOR_THRESHOLD) -> DataFrame:
     au = indel_ratio(F.col("au_a"), F.col("au_b"), author_threshold)
     ti = indel_ratio(F.col("t_a"), F.col("t_b"), max(0.0, 2 * threshold - 100.0))
     score = F.when(au >= author_threshold, (au + ti) / 2).otherwise(0.0)
-    return _pairs(nodes, _length_bound("au_a", "au_b", author_threshold), score, threshold)
+    return _pairs(firsts, _length_bound("au_a", "au_b", author_threshold), score, threshold)
 
 
 def author_duplicates(df: DataFrame, threshold: float = TITLE_THRESHOLD, author_threshold: float = AUTHOR_THRESHOLD) -> DataFrame:
-    pairs = cut(author_pairs(df, threshold, author_threshold))
-    return _scored(leaders(author_nodes(df), pairs), pairs, "author_year_title")
+    nodes = author_nodes(df)
+    firsts = cut(classes(nodes))
+    return _expand(nodes, firsts, cut(author_pairs(firsts, threshold, author_threshold)), "author_year_title")
 
 
 def dedup(df: DataFrame, title_threshold: float = TITLE_THRESHOLD, author_threshold: float = AUTHOR_THRESHOLD) -> tuple[DataFrame, DataFrame]:

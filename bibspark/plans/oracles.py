@@ -231,6 +231,7 @@ SELECT cov AS field_coverage_score, round(cov * 0.3 + populated * 25 + passed /
         "dedup_ut_exact": exact("ut", "ut_exact"),
         "group_places": f"SELECT idx, row_number() OVER (PARTITION BY di ORDER BY idx)::INT AS place FROM bib_records WHERE {filled('di')}",
         "title_block_stats": f"SELECT substr(t, 1, 4) AS block, count(*) AS titles FROM (SELECT {title('''coalesce(ti, 'nan')''')} AS t FROM bib_records) WHERE length(t) > 5 GROUP BY block",
+        "title_classes": f"SELECT idx, min(idx) OVER (PARTITION BY t) AS representative FROM (SELECT idx, {title('''coalesce(ti, 'nan')''')} AS t FROM bib_records) WHERE length(t) > 5",
         "mapping_summary": "SELECT lower(match_type) AS match_type, count(*) AS n FROM duplicate_mappings WHERE match_type IS NOT NULL GROUP BY 1",
         "validation_issues": issues(),
         "issues_by_severity": f"SELECT severity, count(*) AS issues FROM ({issues()}) GROUP BY severity",

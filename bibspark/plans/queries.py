@@ -116,6 +116,10 @@ def title_similarity_pairs(spark, d):
     return dedup.title_pairs(records(spark, d)).select("i", "j", F.round("score", 6).alias("score"))
 
 
+def title_classes(spark, d):
+    return dedup.title_classes(records(spark, d))
+
+
 def dedup_title_similarity(spark, d):
     return dedup.title_duplicates(records(spark, d)).select("idx", "keep", F.round("similarity_score", 6).alias("score"))
 
@@ -373,7 +377,7 @@ def p1_found(spark, d):
 
 def queries() -> dict[str, Query]:
     names = """import_counts merge_union_by_name provenance detect_database database_groups merge_policy_pairs
-        dedup_doi_exact dedup_ut_exact group_places title_block_stats title_similarity_pairs dedup_title_similarity dedup_author_year dedup_mappings dedup_summary mapping_summary
+        dedup_doi_exact dedup_ut_exact group_places title_block_stats title_similarity_pairs title_classes dedup_title_similarity dedup_author_year dedup_mappings dedup_summary mapping_summary
         validation_issues issues_by_severity issues_by_field
         clean_doi clean_keywords clean_authors clean_years normal_titles fixed_dashes squeezed_text countries cleaned_records cleaning_actions country_counts keyword_counts journal_counts
         compat_records generated_ut author_format field_profile mapping_field_results mapping_field_results_dimensions metadata_preservation coverage_and_quality unmapped_columns
