@@ -1,8 +1,8 @@
 """Problem 7: matching the records of two sources that share no key, each match with a confidence.
 
-Label-model linkage. Candidates are pairs that share a combination of two of their rarest title words (at
-least one of them rare), of such a word and an author, or of authors and journal; single words would make hot keys. Heuristic
-matching functions vote on each candidate (same, different, no opinion); a generative model learns
+Label-model linkage. Candidates are pairs that share a combination of two title words (at least one of them
+rare), of a word and an author, of authors or the start or end of the title with journal and year, or
+the whole title; single words would make hot keys. Heuristic matching functions vote on each candidate (same, different, no opinion); a generative model learns
 from the votes alone how often each function is right in either class, and how far functions only
 repeat each other, and gives the posterior probability that the pair is one publication. Pairs above
 the threshold pass a final exact check of the details by which related publications differ (a
@@ -23,7 +23,6 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -39,7 +38,6 @@ from bibspark.session import cut
 #: A word is frequent in so large a share of the rows, and in no fewer rows than this.
 FREQUENT = 2e-3
 FREQUENT_ROWS = 20
-RARE_WORDS = 5
 THRESHOLD = 0.5
 FUNCTIONS = ("title_words", "title_text", "first_author", "authors", "year", "journal", "kind", "numbers")
 
@@ -257,21 +255,38 @@ def fit_label_model(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200)
     return post
 
 
-def _hash_keys(names, words, title, journal, year, frequent: dict[str, int]) -> list[str]:
-    rare = sorted(words, key=lambda w: (frequent.get(w, 0), w))[:RARE_WORDS]
-    # two frequent words together are no key: too many titles share them
-    keys = [f"w|{a}|{b}" for a, b in combinations(sorted(rare), 2) if a not in frequent or b not in frequent]
-    # authors come in any order: the first one and the two that sort first
-    keys += [f"a|{w}|{s}" for w in rare[:3] for s in {*names[:1], *sorted(names)[:2]}]
-    if len(words) <= 3 and title:
-        keys += [f"t|{title}|{s}" for s in names[:3]]
-        if journal and year:
-            keys += [f"t|{title}|{journal}|{y}" for y in (year - 1, year, year + 1)]
-    if names and journal and year:
-        keys += [f"y|{min(names)}|{journal}|{y}" for y in (year, year + 1)]
-    if len(names) > 1 and journal:
-        keys.append(f"s|{'|'.join(sorted(names)[:2])}|{journal}")
-    return keys
+#: Candidate keys in SQL over (side, title, cut, names, words, rare, journal, year); a pair needs one of them in common.
+_PREPARED = {
+    "names": "array_distinct(names)",
+    "years": "IF(year IS NULL, CAST(array() AS array<int>), array(year, year + 1))",  # at most a year apart: one in common
+    "journal": "nullif(journal, '')",
+    "start": "slice(words, 1, 3)",
+}
+_KEYS = (
+    # each title word with each other one; two frequent words together are no key: too many titles share them
+    "flatten(transform(rare, a -> transform(filter(words, b -> b <> a), b -> xxhash64('w', least(a, b), greatest(a, b)))))",
+    # each author with each title word, in journal and year, and with each other author in the journal
+    "flatten(transform(names, s -> transform(words, w -> xxhash64('a', w, s))))",
+    "IF(journal IS NULL, NULL, flatten(transform(names, s -> transform(years, y -> xxhash64('y', s, journal, y)))))",
+    "IF(journal IS NULL, NULL, flatten(transform(names, s -> transform(filter(names, r -> r > s), r -> xxhash64('s', s, r, journal)))))",
+    # the whole title; a short one only with an author or in journal and year
+    "IF(size(words) > 3, array(xxhash64('v', title)), NULL)",
+    "IF(size(words) <= 3 AND title <> '', transform(names, s -> xxhash64('t', title, s)), NULL)",
+    "IF(size(words) <= 3 AND title <> '' AND journal IS NOT NULL, transform(years, y -> xxhash64('u', title, journal, y)), NULL)",
+    # start and end of the title in journal and year
+    "IF(size(words) > 3 AND journal IS NOT NULL, transform(years, y -> xxhash64('p', start, journal, y)), NULL)",
+    "IF(size(words) > 3 AND journal IS NOT NULL AND NOT cut, transform(years, y -> xxhash64('e', slice(words, -3, 3), journal, y)), NULL)",
+    # a cut title with all that begin like it in a year or in a journal: the side of the cut one is part of the key
+    *(f"IF(size(words) > 3 AND (side <> '{x}' OR cut), {k}, NULL)" for x in "bd" for k in (f"transform(years, y -> xxhash64('c{x}', start, y))", f"IF(journal IS NULL, NULL, array(xxhash64('j{x}', start, journal)))")),
+)
+
+
+def candidate_keys(reps: DataFrame, frequent: list[str]) -> DataFrame:
+    """(side, ph, k): the candidate keys of each description; ``frequent`` are words that make no key together."""
+    rows = reps.select("side", "ph", "title", "cut", "names", "words", "journal", "year").withColumn("rare", F.array_except("words", F.array(*map(F.lit, frequent)).cast("array<string>")))
+    rows = rows.withColumns({c: F.expr(e) for c, e in _PREPARED.items()})
+    none = F.expr("CAST(array() AS array<bigint>)")
+    return rows.select("side", "ph", F.explode(F.array_distinct(F.concat(*[F.coalesce(F.expr(e), none) for e in _KEYS]))).alias("k"))
 
 
 def link(records: DataFrame, others: DataFrame, journals: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -297,20 +312,12 @@ def link(records: DataFrame, others: DataFrame, journals: DataFrame, threshold:
     rows = cut(a.unionByName(b).mapInPandas(parse, _PROFILE))
     least = max(FREQUENT_ROWS, rows.count() * FREQUENT)
     frequent = {r.w: r.n for r in rows.select(F.explode("words").alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least).collect()}
-    common = spark.sparkContext.broadcast(frequent)
 
     members = rows.select("side", "ph", "id")
     # one row for each distinct description of a side; a hash is no more than 16 bytes of shuffle
     reps = cut(rows.drop("id").dropDuplicates(["side", "ph"]))
 
-    def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import xxhash
-
-        for p in batches:
-            out = [(s, h, xxhash.xxh3_64_intdigest(k.encode()) - (1 << 63)) for s, h, n, w, t, j, y in zip(p["side"], p["ph"], p["names"], p["words"], p["title"], p["journal"], p["year"]) for k in set(_hash_keys(list(n), list(w), t, j, None if pd.isna(y) else int(y), common.value))]
-            yield pd.DataFrame(out, columns=["side", "ph", "k"])
-
-    keyed = reps.select("side", "ph", "names", "words", "title", "journal", "year").mapInPandas(keys, "side string, ph long, k long")
+    keyed = candidate_keys(reps, sorted(frequent))
     left = keyed.where("side = 'b'").select("k", F.col("ph").alias("pa"))
     right = keyed.where("side = 'd'").select("k", F.col("ph").alias("pb"))
     pairs = left.join(right, "k").select("pa", "pb").distinct()

@@ -243,6 +243,22 @@ def test_link_edges(spark):
     assert linkage.link(b.limit(0), d, jr).count() == 0
 
 
+def test_common_words_and_misspelt_names_still_share_a_key(spark):
+    cols = "side string, ph long, title string, cut boolean, names array<string>, words array<string>, journal string, year int"
+    title = "effects of sediment load on lake stratification in"
+    row = lambda side, ph, t, cut, names, j, y: (side, ph, t, cut, names, [w for w in dict.fromkeys(t.split()) if len(w) > 2], j, y)
+    rows = [
+        row("b", 1, f"{title} kelbagaville", False, ["brineau", "trembuton", "histemoto", "furvakar", "zelin"], "#7", 2011), row("d", 2, title, True, ["brineais", "trembuton", "histemoto", "furvakar", "aelin"], "#7", 2010),
+        row("b", 3, f"{title} morbaville", False, [], "#8", 1999), row("d", 4, title, True, ["x"], "", 1999), row("d", 5, f"{title} morbavile", False, ["y"], "#8", 2000),
+        row("b", 6, "sediment load of lakes", False, ["aa", "bb", "cc", "dd"], "", None), row("d", 7, "load of lake sediment", False, ["dd", "ee", "ff", "gg"], "", None),
+    ]
+    frequent = [*title.split(), "lakes"]
+    k = linkage.candidate_keys(spark.createDataFrame(rows, cols), frequent)
+    pairs = k.where("side = 'b'").selectExpr("k", "ph AS pa").join(k.where("side = 'd'").selectExpr("k", "ph AS pb"), "k").select("pa", "pb").distinct()
+    assert {tuple(r) for r in pairs.collect()} == {(1, 2), (3, 4), (3, 5), (6, 7)}
+    assert linkage.candidate_keys(spark.createDataFrame(rows, cols).limit(0), []).count() == 0
+
+
 # --- 8 packing
 
 
