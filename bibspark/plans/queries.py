@@ -75,7 +75,7 @@ def provenance(spark, d):
 
 def detect_database(spark, d):
     """The database that headers of each source's columns tell."""
-    heads = [(db, mapping.detect_database(list(m)[:8])) for db, m in sorted(mapping.MAPPINGS.items())]
+    heads = [(db, mapping.detect_database(list(m))) for db, m in sorted(mapping.MAPPINGS.items())]
     return spark.createDataFrame(heads, "source_database string, detected string")
 
 

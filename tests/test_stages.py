@@ -171,3 +171,10 @@ def test_streaming(spark, data, tmp_path):
     q = st.writeStream.format("memory").queryName("arr").outputMode("complete").trigger(availableNow=True).start()
     q.awaitTermination()
     assert spark.sql("SELECT sum(n) FROM arr").first()[0] == ev.count()
+
+
+def test_detect_database_sees_every_header(spark, data):
+    from bibspark.plans.queries import queries
+
+    got = {r.source_database: r.detected for r in queries()["detect_database"](spark, data).collect()}
+    assert got["Lens"] == "Lens" and got["PubMed"] == "PubMed" and got["Scopus"] == "Scopus"
