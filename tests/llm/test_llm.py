@@ -217,6 +217,15 @@ def test_p3_frequent_spellings_with_one_given_name(spark):
     assert {tuple(r) for r in names.p3_found(m, ins, jr).collect()} == {(a, b) for w in want for a in w for b in w if a < b}
 
 
+def test_name_index_reaches_all_similar_tokens(spark):
+    for a, b in (("kim", "kin"), ("wei", "we"), ("sovoyy", "savayy"), ("trudaen", "trudoin"), ("abcde", "abxdef")):
+        assert names.similar(a, b) and names.deletions(a) & names.deletions(b)
+    rows = [("", "regional archive", 9), ("", "regional archive ardtovaport", 1), ("", "regional archive selmiport", 1), ("", "school nursing", 5)]
+    nodes = spark.createDataFrame(rows, "scope string, name string, n long")
+    got = {r.name: r.root for r in names._link(nodes, names.same_org, frozenset("regional archive school nursing".split())).collect()}
+    assert got["regional archive ardtovaport"] == got["regional archive"] != got["school nursing"]
+
+
 # --- 7 linkage
 
 
