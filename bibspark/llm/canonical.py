@@ -95,6 +95,9 @@ class Journals:
         key = self.vocab.key(text)
         if not key:
             return 99, 0
+        exact = self.trie.closest(key, 0)[1] or self.raw.closest(fold(text), 0)[1]
+        if exact:
+            return 0, min(exact)
         if not any(self._known(w) for w in key.split()):
             return 99, 0  # no word of it is near any word of the list
         dist, hits = self.trie.closest(key, allowed(len(key)))
@@ -145,6 +148,8 @@ class Institutions:
                 spellings |= {f"{words[1]} university", f"{words[1]} univ"}
             for x in spellings:
                 self.tries[c].add(x, ref)
+        #: Cities that the words of a name can't lead to; these institutions are tried for every address.
+        self.unseen = {c for c in self.tries if c and (len(c) < 6 or " " in c)}
         self._near = lru_cache(CACHE)(self._near_cities)
 
     def _near_cities(self, token: str) -> tuple[str, ...]:
@@ -172,9 +177,11 @@ class Institutions:
                 continue
             key = self.vocab.key(p)
             near = {c for w in words for c in self._near(w)} | named
-            for c in sorted(near | ({""} if "" in self.tries else set())):
+            for c in sorted(near | self.unseen | ({""} if "" in self.tries else set())):
                 for text in (key, raw) if key != raw else (key,):
-                    dist, hits = self.tries[c].closest(text, allowed(len(text)))
+                    # no more edits than the city itself may have: Bonn isn't Bern
+                    most = allowed(len(text)) if c in near or not c else min(allowed(len(text)), allowed(len(c)))
+                    dist, hits = self.tries[c].closest(text, most)
                     if named and c not in named and dist > 1:
                         continue  # the address names another known city
                     for e, d in hits.items():

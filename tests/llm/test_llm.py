@@ -152,6 +152,14 @@ def test_journals_and_institutions():
         assert i.lookup(v)[1] == want, v
 
 
+def test_short_cities_and_short_titles():
+    i = canonical.Institutions([(5, "University of Oslo", "UIO", "Oslo"), (6, "New York University", "NYU", "New York"), (7, "University of Bonn", "UBO", "Bonn")])
+    for v, want in {"University of Oslo": 5, "Dept X, New York University, USA": 6, "University of Bern": 0, "University of Oslo, Oslo": 5}.items():
+        assert i.lookup(v)[1] == want, v
+    j = canonical.Journals([(1, "Gut", None), (2, "BMJ", None), (3, "Annals of Phytometrics", None)])
+    assert [j.lookup(v)[1] for v in ("Gut", "BMJ", "Gus", "Annals of Phytometrics")] == [1, 2, 0, 3]
+
+
 def test_map_values_edges(spark):
     rec = spark.createDataFrame([(1, " ", None), (2, None, "UKEL, K; ?"), (3, "x" * 50_000, "")], "idx long, so string, c1 string")
     jr = spark.createDataFrame([(1, "Annals of X", "Ann. X")], "ref_id int, journal_title string, iso_abbrev string")
