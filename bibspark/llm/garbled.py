@@ -171,14 +171,14 @@ def repair(text: str) -> str:
                 t = _peel_utf8(text, enc)
                 if t != text and (c := cost(t)) < best_cost:
                     best, best_cost = t, c
-        if (_LATIN_HIGH_RUN.search(text) or _SWAPPED.search(text)):
-            some = bool(_CYR_WORD.search(text))
-            for a, b in CYRILLIC:
-                t = _peel_cyrillic(text, a, b)
-                if t is None and some and (w := _peel_cyrillic_words(text, a, b)) != text and (c := cost(w)) < best_cost:
-                    best, best_cost = w, c
-                if t is not None and (c := cost(t)) < 0.7 * best_cost:
-                    best, best_cost = t, c
+        # any run of the loop's condition may be Cyrillic: the cost decides
+        some = bool(_LATIN_HIGH_RUN.search(text) and _CYR_WORD.search(text))
+        for a, b in CYRILLIC:
+            t = _peel_cyrillic(text, a, b)
+            if t is None and some and (w := _peel_cyrillic_words(text, a, b)) != text and (c := cost(w)) < best_cost:
+                best, best_cost = w, c
+            if t is not None and (c := cost(t)) < 0.7 * best_cost:
+                best, best_cost = t, c
         if best is text:
             break
         text, now = best, best_cost

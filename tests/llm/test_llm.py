@@ -37,6 +37,12 @@ def test_cyrillic_read_as_western():
     assert garbled.examine(t.encode("cp1251").decode("latin-1"), "ab") == (True, t)
 
 
+@pytest.mark.parametrize(("read_as", "meant", "text"), [("cp437", "koi8_r", "Влияние удобрений на урожай пшеницы"), ("cp850", "koi8_r", "Влияние удобрений на урожай пшеницы"), ("cp866", "koi8_r", "Влияние удобрений на урожай пшеницы"), ("koi8_r", "cp866", "Показано, что режимы реки зависят от состава корма"), ("koi8_r", "cp866", "Влияние удобрений на урожай пшеницы"), ("koi8_r", "cp866", "Всего исследовано 38 образцов за 1989 год")])
+def test_cyrillic_without_a_run_of_accented_letters(read_as, meant, text):
+    bad = "".join(chr(garbled._table(read_as)[b]) for b in text.encode(meant))
+    assert garbled.examine(bad, "ab") == (True, text)
+
+
 def test_cyrillic_words_and_doubled_letters():
     assert garbled.examine("зависят от параметры ñðåäû. Показано", "ab") == (True, "зависят от параметры среды. Показано")
     assert garbled.examine("DruruÃ§Ã£Ã£o K", "au") == (True, "Druruçããо K".replace("о", "o"))
