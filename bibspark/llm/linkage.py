@@ -1,16 +1,17 @@
 """Problem 7: matching the records of two sources that share no key, each match with a confidence.
 
-Label-model linkage. Candidates are pairs that share a combination of two title words (at least one of them
-rare), of a word and an author, of authors or the start or end of the title with journal and year, or
-the whole title; single words would make hot keys. Heuristic matching functions vote on each candidate (same, different, no opinion); a generative model learns
-from the votes alone how often each function is right in either class, and how far functions only
-repeat each other, and gives the posterior probability that the pair is one publication. Pairs above
-the threshold pass a final exact check of the details by which related publications differ (a
-correction, a reply, a second part).
+Label-model linkage. Candidates are pairs that share a combination of two title words or of an author with
+title words (one rare word, or two frequent ones that are neighbours by alphabet), of authors or the start or end of the
+title with journal and year, or the whole title; single words would make hot keys. Heuristic matching
+functions vote on each candidate (same, undecided, different, or nothing where a value is missing). A
+generative model learns from the votes alone how often each function says what of pairs that are one
+publication, of related publications (a correction, a reply, a second part, another place) and of strangers.
+The votes of related pairs hang together, which two classes can't tell; the third class carries these
+correlations. The posterior probability of the first class is the confidence, and it alone decides.
 
 Work follows classes of identical descriptions, not copies: both sides are first reduced to their
 distinct profiles, candidates and votes are made for profiles, and memberships are joined at the end.
-The driver sees the counts of vote patterns (at most 3 ** 8) and the words that a share of at least
+The driver sees the counts of vote patterns (at most 4 ** 8) and the words that a share of at least
 ``FREQUENT`` of the rows contains (their number is bounded by words a title / FREQUENT).
 
 Defined results: a row without usable title takes part through authors, journal and year; rows without
@@ -39,22 +40,15 @@ from bibspark.session import cut
 FREQUENT = 2e-3
 FREQUENT_ROWS = 20
 THRESHOLD = 0.5
-FUNCTIONS = ("title_words", "title_text", "first_author", "authors", "year", "journal", "kind", "numbers")
+FUNCTIONS = ("title_words", "title_text", "first_author", "authors", "year", "journal", "left_over", "numbers")
+#: A vote where there is nothing to compare; it is no evidence for any class.
+NONE = None
 
 _TAG = re.compile(r"<[^<>]{1,40}>|&[a-z]{2,8};")
+#: Numbers, also Roman ones of two letters and more.
+_NUMBER = re.compile(r"\d+|\b(?:i[iv]+|vi+|xi+|ix)\b")
 _CUT = re.compile(r"\s*(?:\.\.\.|…)\s*$")
-#: Words by which a related but separate publication differs from the one it belongs to.
-_KINDS = {
-    "correction": "correction", "corrigendum": "correction", "erratum": "correction", "errata": "correction", "reply": "reply", "response": "reply", "comment": "reply", "comments": "reply", "retraction": "retraction", "retracted": "retraction",
-}
-_LEAD = frozenset("to on for of in comments".split())
-_TAILS = (
-    ("2", re.compile(r" part (?:2|ii)$| ii further observations$| ii$")),
-    ("3", re.compile(r" part (?:3|iii)$| iii$")),
-    ("s2", re.compile(r" in a \w{4,8} season$")),
-    ("f", re.compile(r" a follow up(?: study)?$| an update$")),
-)
-_PROFILE = "side string, id string, ph long, title string, cut boolean, kind string, numbers string, names array<string>, partial boolean, journal string, year int, words array<string>"
+_PROFILE = "side string, id string, ph long, title string, cut boolean, numbers string, names array<string>, partial boolean, journal string, year int, words array<string>"
 
 
 def indel(a: str, b: str) -> float:
@@ -83,34 +77,12 @@ def close(a: str, b: str) -> bool:
     return n > 3 and abs(len(a) - len(b)) <= 2 and indel(a, b) >= (0.75 if n < 8 else 0.78)
 
 
-def clean_title(title: str | None) -> tuple[str, bool, str]:
-    """(folded title without its markers, whether it is cut off, kind of publication)."""
+def clean_title(title: str | None) -> tuple[str, bool]:
+    """(folded title without markup, whether it is cut off)."""
     if not title or not title.strip():
-        return "", False, ""
+        return "", False
     t = _TAG.sub("", repair(title)).strip()
-    short = bool(_CUT.search(t))
-    t = fold(_CUT.sub("", t).strip("[] ."))
-    kinds = []
-    w = t.split()
-    kind = next((k for x, k in _KINDS.items() if w and (w[0] == x or (len(x) > 4 and close(w[0], x)))), "")
-    skip = 1
-    if not kind and len(w) > 3 and close(w[0], "book") and close(w[1], "review"):
-        kind, skip = "review", 2
-    elif not kind and len(w) > 3 and close(w[0], "review") and w[1] == "of":
-        kind = "review"
-    if kind:
-        while skip < len(w) and w[skip] in _LEAD:
-            skip += 1
-        if len(w) > skip + 2 and (skip > 1 or kind in ("correction", "retraction")):
-            kinds.append(kind)
-            t = " ".join(w[skip:])
-    for name, rx in _TAILS:
-        m = rx.search(t)
-        if m:
-            kinds.append(name)
-            t = t[: m.start()].strip()
-            break
-    return t, short, "+".join(kinds)
+    return fold(_CUT.sub("", t).strip("[] .")), bool(_CUT.search(t))
 
 
 _ET_AL = re.compile(r"[;,]?\s*(?:et al\.?|and others)\s*$", re.I)
@@ -136,7 +108,7 @@ def surnames(authors: str | None) -> tuple[list[str], bool]:
 
 
 def profile(title, authors, journal, year, journals: Journals, cache: dict) -> tuple:
-    t, short, kind = clean_title(title)
+    t, short = clean_title(title)
     names, part = surnames(authors)
     j = (journal or "").strip()
     if j:
@@ -148,26 +120,22 @@ def profile(title, authors, journal, year, journals: Journals, cache: dict) -> t
         j = cache[j]
     y = int(year) if year is not None and year == year and 1900 <= year <= 2030 else None
     words = [w for w in dict.fromkeys(t.split()) if len(w) > 2]
-    return t, short, kind, " ".join(sorted(re.findall(r"\d+", t))), names, part, j, y, words
-
+    return t, short, " ".join(sorted(_NUMBER.findall(t))), names, part, j, y, words
 
-def _numbers(text: str) -> set[str]:
-    return set(text.split())
 
-
-def votes(a: tuple, b: tuple) -> tuple[int, ...]:
-    """Votes of FUNCTIONS on (title, cut, kind, numbers, names, partial, journal, year) pairs."""
-    ta, ca, ka, na, sa, pa, ja, ya = a
-    tb, cb, kb, nb, sb, pb, jb, yb = b
-    words = text = numbers = kind = 0
+def votes(a: tuple, b: tuple) -> tuple[int | None, ...]:
+    """Votes of FUNCTIONS on two (title, cut, numbers, names, partial, journal, year)."""
+    ta, ca, na, sa, pa, ja, ya = a
+    tb, cb, nb, sb, pb, jb, yb = b
+    words = text = over_vote = numbers = first = both = year = journal = NONE
     if ta and tb:
-        x, y = (ta, tb)
-        if ca or cb:  # compare with the kept beginning only
-            n = min(len(ta) if ca else 10**6, len(tb) if cb else 10**6)
-            x, y = ta[:n], tb[: n + (0 if len(tb) <= n else 0)]
-        wx, wy = x.split(), y.split()
-        if (ca or cb) and len(wx) > 2 and len(wy) > 2:
-            m = min(len(wx), len(wy)) - 1
+        x, y, wx, wy = ta, tb, ta.split(), tb.split()
+        generic = min(len(wx), len(wy)) <= 3
+        if ca or cb:  # compare the kept beginning only, of which the last word may be cut itself
+            n = min(len(t) for t, c in ((ta, ca), (tb, cb)) if c)
+            x, y = ta[:n], tb[:n]
+            m = max(1, min(len(x.split()), len(y.split())) - 1)
+            tail = wx[m : m + 1] + wy[m : m + 1]
             wx, wy = wx[:m], wy[:m]
         rest, over = list(wy), []
         for w in wx:
@@ -176,83 +144,71 @@ def votes(a: tuple, b: tuple) -> tuple[int, ...]:
                 over.append(w)
             else:
                 del rest[hit]
-        text_sim = indel(x, y)
+        alike = indel(x, y)
         # what is left on both sides must be one text with slips, not another place or species
-        left = indel("".join(over), "".join(rest)) if over or rest else 1.0
-        words = 1 if left == 1.0 or (left >= 0.7 and text_sim >= 0.9) else 0 if left >= 0.5 and text_sim >= 0.9 else -1
-        text = 1 if text_sim >= 0.9 else -1 if text_sim < 0.82 else 0
-        if na != nb and not (ca or cb):
-            numbers = -1
-        kind = -1 if ka.split("+")[0] != kb.split("+")[0] or (ka != kb and not (ca or cb)) else 0
-    first = both = 0
+        left = indel("".join(over), "".join(rest)) if over and rest else float(not over and not rest)
+        slip = min(map(len, (over, rest))) > 0 and max(map(len, over + rest)) > 1 and (1 - left) * sum(map(len, over + rest)) <= 2.01
+        words = 1 if left == 1.0 or ((left >= 0.7 or slip) and alike >= 0.9) else 0 if left >= 0.5 and alike >= 0.9 else -1
+        if (ca or cb) and len(tail) == 2 and indel(tail[0][: len(tail[1])], tail[1][: len(tail[0])]) < 0.5:
+            words = -1  # the word within which it is cut is another one
+        # equal titles of a word or two say little
+        text = (NONE if generic else 1) if alike >= 0.9 else -1 if alike < 0.82 else 0
+        if not (ca or cb):
+            # words that only one of the titles has, such as those of a reply or a second part
+            more = len(wx) != len(wy) and abs(sum(map(len, over)) - sum(map(len, rest))) >= 3 and left < 0.6
+            over_vote = -1 if more else 1 if not over and not rest else 0
+            if na or nb:
+                numbers = 1 if na == nb else -1
     if sa and sb:
         first = 1 if close(sa[0], sb[0]) else -1
         small, large = (sa, sb) if len(sa) <= len(sb) else (sb, sa)
-        hit = sum(any(close(w, v) for v in large) for w in small)
-        share = hit / len(small)
-        alike = len(small) / len(large) >= 0.5 or pa or pb
-        both = 1 if share >= 0.6 and alike else -1 if share < 0.34 else 0
-    year = 0 if ya is None or yb is None else 1 if abs(ya - yb) <= 1 else -1
-    journal = 0
+        share = sum(any(close(w, v) for v in large) for w in small) / len(small)
+        full = len(small) / len(large) >= 0.5 or pa or pb
+        both = 1 if share >= 0.6 and full else -1 if share < 0.34 else 0
+    if ya is not None and yb is not None:
+        year = 1 if abs(ya - yb) <= 1 else -1
     if ja and jb:
         journal = 1 if ja == jb or (ja[0] != "#" and jb[0] != "#" and indel(ja, jb) >= 0.85) else -1
-    return words, text, first, both, year, journal, kind, numbers
+    return words, text, first, both, year, journal, over_vote, numbers
 
 
-def exact_check(v: tuple[int, ...], generic: bool) -> bool:
-    """What no posterior may overrule: details by which related publications differ."""
-    words, text, first, both, year, journal, kind, numbers = v
-    if kind < 0 or numbers < 0 or words < 0 or (first < 0 and both < 0) or both < 0:
-        return False
-    if words == 0 and text <= 0:  # no title to rely on
-        return both > 0 and first > 0 and year > 0 and journal > 0
-    if year < 0 and journal < 0:
-        return False
-    if generic:
-        return (first > 0 and both >= 0 and (journal > 0 or year > 0)) or (first == 0 and journal > 0 and year > 0)
-    return True
+#: Where learning starts: shares of "different" and of "same" that each of FUNCTIONS says of a class.
+_START = np.array(
+    [
+        [(0.01, 0.9), (0.02, 0.9), (0.1, 0.8), (0.02, 0.8), (0.03, 0.85), (0.03, 0.8), (0.01, 0.8), (0.005, 0.7)],  # one publication
+        [(0.9, 0.02), (0.3, 0.4), (0.1, 0.8), (0.05, 0.8), (0.3, 0.6), (0.1, 0.8), (0.6, 0.02), (0.5, 0.3)],  # related ones
+        [(0.98, 0.01), (0.95, 0.01), (0.9, 0.05), (0.8, 0.05), (0.6, 0.3), (0.8, 0.1), (0.4, 0.02), (0.8, 0.1)],  # strangers
+    ]
+)
+#: The start weighs as much as this share of all candidates.
+_STRENGTH = 0.01
 
 
-def fit_label_model(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -> np.ndarray:
-    """Posterior of a match for each pattern of votes.
+def fit_label_model(patterns: np.ndarray, counts: np.ndarray, rounds: int = 500) -> np.ndarray:
+    """Posterior of a match for each pattern of votes: -1, 0, 1, or nan where a function has nothing to compare.
 
-    Two classes; each function has its own probabilities of (-1, 0, 1) in either class, learned by
-    expectation maximisation from the pattern counts. Functions that agree beyond what the class
-    explains share their weight: a function counts 1 / (1 + sum of its residual correlations).
+    Latent classes (one publication, related, strangers), learned by expectation maximisation from the
+    pattern counts; in each class a function has its own probabilities of the three votes.
     """
-    n, f = patterns.shape
+    n = len(patterns)
     if n == 0:
         return np.zeros(0)
-    one = np.stack([(patterns == v) for v in (-1, 0, 1)], axis=2).astype(float)  # n, f, 3
-    score = patterns[:, :6].sum(1) + 3 * patterns[:, 6:].sum(1)
-    post = 1 / (1 + np.exp(-(score - 1.5)))
-    weight = np.ones(f)
-    for step in range(rounds):
-        w = counts * post, counts * (1 - post)
-        prior = (w[0].sum() + 1) / (counts.sum() + 2)
-        logs = []
-        for c in w:
-            p = np.einsum("n,nfk->fk", c, one) + 0.5
-            logs.append(np.log(p / p.sum(1, keepdims=True)))
-        ll = [(one * g[None]).sum(2) @ weight for g in logs]
-        z = ll[0] + np.log(prior) - ll[1] - np.log(1 - prior)
-        new = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
-        done = np.abs(new - post).max() < 1e-6
-        post = new
-        if step in (10, 30):  # learn the correlations from what the classes leave unexplained
-            r = np.zeros((f, f))
-            for c in (counts * post, counts * (1 - post)):
-                m = (patterns * c[:, None]).sum(0) / max(c.sum(), 1e-9)
-                d = patterns - m
-                cov = (d * c[:, None]).T @ d / max(c.sum(), 1e-9)
-                s = np.sqrt(np.clip(np.diag(cov), 1e-9, None))
-                r += np.clip(cov / np.outer(s, s), 0, 1) * c.sum()
-            r /= max(counts.sum(), 1e-9)
-            np.fill_diagonal(r, 0)
-            weight = 1 / (1 + r.sum(1))
-        elif done and step > 31:
+    one = np.stack([patterns == v for v in (-1, 0, 1)], axis=2).astype(float)  # n, functions, 3
+    start = np.stack([_START[:, :, 0], 1 - _START.sum(2), _START[:, :, 1]], axis=2)
+    theta, prior, strength = start, np.array([0.2, 0.2, 0.6]), _STRENGTH * counts.sum()
+    for _ in range(rounds):
+        ll = np.einsum("nfv,kfv->nk", one, np.log(theta)) + np.log(prior)
+        post = np.exp(ll - ll.max(1, keepdims=True))
+        post /= post.sum(1, keepdims=True)
+        w = post * counts[:, None]
+        prior = (w.sum(0) + 1) / (counts.sum() + 3)
+        new = np.einsum("nk,nfv->kfv", w, one) + strength * start + 1e-3
+        new /= new.sum(2, keepdims=True)
+        done = np.abs(new - theta).max() < 1e-7
+        theta = new
+        if done:
             break
-    return post
+    return post[:, 0]
 
 
 #: Candidate keys in SQL over (side, title, cut, names, words, rare, journal, year); a pair needs one of them in common.
@@ -261,12 +217,14 @@ _PREPARED = {
     "years": "IF(year IS NULL, CAST(array() AS array<int>), array(year, year + 1))",  # at most a year apart: one in common
     "journal": "nullif(journal, '')",
     "start": "slice(words, 1, 3)",
+    "usual": "IF(size(plain) < 2, array(), transform(sequence(1, size(plain) - 1), i -> concat_ws(' ', plain[i - 1], plain[i])))",
 }
 _KEYS = (
     # each title word with each other one; two frequent words together are no key: too many titles share them
     "flatten(transform(rare, a -> transform(filter(words, b -> b <> a), b -> xxhash64('w', least(a, b), greatest(a, b)))))",
-    # each author with each title word, in journal and year, and with each other author in the journal
-    "flatten(transform(names, s -> transform(words, w -> xxhash64('a', w, s))))",
+    # each author with each rare title word and each two frequent ones next by alphabet, in journal and year, and with each other author in the journal
+    "flatten(transform(names, s -> transform(rare, w -> xxhash64('a', w, s))))",
+    "flatten(transform(names, s -> transform(usual, w -> xxhash64('f', w, s))))",
     "IF(journal IS NULL, NULL, flatten(transform(names, s -> transform(years, y -> xxhash64('y', s, journal, y)))))",
     "IF(journal IS NULL, NULL, flatten(transform(names, s -> transform(filter(names, r -> r > s), r -> xxhash64('s', s, r, journal)))))",
     # the whole title; a short one only with an author or in journal and year
@@ -283,7 +241,8 @@ _KEYS = (
 
 def candidate_keys(reps: DataFrame, frequent: list[str]) -> DataFrame:
     """(side, ph, k): the candidate keys of each description; ``frequent`` are words that make no key together."""
-    rows = reps.select("side", "ph", "title", "cut", "names", "words", "journal", "year").withColumn("rare", F.array_except("words", F.array(*map(F.lit, frequent)).cast("array<string>")))
+    often = F.array(*map(F.lit, frequent)).cast("array<string>")
+    rows = reps.select("side", "ph", "title", "cut", "names", "words", "journal", "year").withColumns({"rare": F.array_except("words", often), "plain": F.array_sort(F.array_intersect("words", often))})
     rows = rows.withColumns({c: F.expr(e) for c, e in _PREPARED.items()})
     none = F.expr("CAST(array() AS array<bigint>)")
     return rows.select("side", "ph", F.explode(F.array_distinct(F.concat(*[F.coalesce(F.expr(e), none) for e in _KEYS]))).alias("k"))
@@ -307,7 +266,7 @@ def link(records: DataFrame, others: DataFrame, journals: DataFrame, threshold:
                 r = profile(t, au, j, y, js, cache)
                 ph = xxhash.xxh3_64_intdigest(repr(r).encode()) - (1 << 63)
                 out.append((side, i, ph, *r))
-            yield pd.DataFrame(out, columns=["side", "id", "ph", "title", "cut", "kind", "numbers", "names", "partial", "journal", "year", "words"]).astype({"year": "Int32"})
+            yield pd.DataFrame(out, columns=["side", "id", "ph", "title", "cut", "numbers", "names", "partial", "journal", "year", "words"]).astype({"year": "Int32"})
 
     rows = cut(a.unionByName(b).mapInPandas(parse, _PROFILE))
     least = max(FREQUENT_ROWS, rows.count() * FREQUENT)
@@ -321,29 +280,29 @@ def link(records: DataFrame, others: DataFrame, journals: DataFrame, threshold:
     left = keyed.where("side = 'b'").select("k", F.col("ph").alias("pa"))
     right = keyed.where("side = 'd'").select("k", F.col("ph").alias("pb"))
     pairs = left.join(right, "k").select("pa", "pb").distinct()
-    cols = ["title", "cut", "kind", "numbers", "names", "partial", "journal", "year"]
-    side = lambda s, x: reps.where(f"side = '{s}'").select(F.col("ph").alias(f"p{x}"), F.struct(*cols, F.size("words").alias("size")).alias(x))
+    cols = ["title", "cut", "numbers", "names", "partial", "journal", "year"]
+    side = lambda s, x: reps.where(f"side = '{s}'").select(F.col("ph").alias(f"p{x}"), F.struct(*cols).alias(x))
     full = pairs.join(side("b", "a"), "pa").join(side("d", "b"), "pb")
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def flat(r) -> tuple:
             r = r.asDict() if hasattr(r, "asDict") else r
             y = r["year"]
-            return (r["title"], r["cut"], r["kind"], r["numbers"], list(r["names"]), r["partial"], r["journal"], None if y is None or y != y else int(y))
+            return (r["title"], r["cut"], r["numbers"], list(r["names"]), r["partial"], r["journal"], None if y is None or y != y else int(y))
 
         for p in batches:
             out = []
             for pa, pb, x, y in zip(p["pa"], p["pb"], p["a"], p["b"]):
-                v = votes(flat(x), flat(y))
-                out.append((pa, pb, "".join("-0+"[k + 1] for k in v), exact_check(v, min(x["size"], y["size"]) <= 3)))
-            yield pd.DataFrame(out, columns=["pa", "pb", "pattern", "ok"])
+                out.append((pa, pb, "".join("." if k is None else "-0+"[k + 1] for k in votes(flat(x), flat(y)))))
+            yield pd.DataFrame(out, columns=["pa", "pb", "pattern"])
 
-    voted = cut(full.select("pa", "pb", "a", "b").mapInPandas(judge, "pa long, pb long, pattern string, ok boolean"))
+    voted = cut(full.select("pa", "pb", "a", "b").mapInPandas(judge, "pa long, pb long, pattern string"))
     counted = voted.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).orderBy("pattern").collect()
-    pats = np.array([["-0+".index(c) - 1 for c in r.pattern] for r in counted]).reshape(len(counted), len(FUNCTIONS))
+    value = {"-": -1.0, "0": 0.0, "+": 1.0, ".": np.nan}
+    pats = np.array([[value[c] for c in r.pattern] for r in counted]).reshape(len(counted), len(FUNCTIONS))
     post = fit_label_model(pats, np.array([float(r.n) for r in counted]))
     table = spark.createDataFrame([(r.pattern, float(p)) for r, p in zip(counted, post)], "pattern string, confidence double")
-    good = voted.where("ok").join(F.broadcast(table), "pattern").where(F.col("confidence") >= threshold).select("pa", "pb", "confidence")
+    good = voted.join(F.broadcast(table), "pattern").where(F.col("confidence") >= threshold).select("pa", "pb", "confidence")
     return (
         good.join(members.where("side = 'b'").select(F.col("ph").alias("pa"), F.col("id").cast("long").alias("idx")), "pa")
         .join(members.where("side = 'd'").select(F.col("ph").alias("pb"), F.col("id").alias("publication_id")), "pb")
