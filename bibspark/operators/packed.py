@@ -1,15 +1,16 @@
 """Problem 1: several values packed in one field, one row per value with its position.
 
-Dictionary-guided segmentation. A first pass over the whole table collects, inside Spark, values that
-are known to be whole because they stand between unmistakable delimiters although they contain a
-weaker delimiter themselves ("models, biological"), and the given names that follow the comma of an
-inverted name. A multi-pattern automaton finds the known values in a field; dynamic programming over
-the delimiter positions then picks the cheapest cover of the field by segments: a stretch between
-neighbouring delimiters, or a known value that spans several of them. Quotes, list brackets, entities
-and bracketed author lists protect what they enclose.
-
-The dictionary has a proven size bound: an entry must occur in a share of at least ``SUPPORT`` of the
-table's rows, so a field with at most v values a row yields at most v / SUPPORT entries.
+Dictionary-guided segmentation. A first pass over the whole table collects, inside Spark, values that are
+known to be whole although they contain a delimiter: keywords ("models, biological"), inverted names and
+addresses between unmistakable delimiters, and quoted or listed values with any delimiter inside; and the
+given names that follow the comma of an inverted name. A multi-pattern automaton finds the known values in
+a field; dynamic programming over the delimiter positions then picks the cheapest cover of the field by
+segments: a stretch between neighbouring delimiters, or a known value that spans several of them. Quotes,
+list brackets, entities and bracketed author lists protect what they enclose.
+
+Every value seen in two places is in the dictionary. Up to ``BROADCAST`` characters it is broadcast as
+automatons; a longer one is joined, distributed, with the stretches of delimited text that could be values
+(the same stretches an automaton would find), and each text gets an automaton of what it contains.
 
 Defined results: a null, blank or delimiter-only field yields no row; a field with one value yields
 that value at position 1; repeated values stay; texts of any length are handled in one pass; columns
@@ -19,17 +20,24 @@ empty result.
 
 from __future__ import annotations
 
+import functools
 import re
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bibspark.session import cut
+
 FIELDS = ("au", "de", "id", "c1")
-SUPPORT = 1e-5
+#: A value must be seen whole so often to be known.
 MIN_ROWS = 2
+#: Characters of a dictionary that is broadcast; an automaton takes some 50 bytes for each.
+BROADCAST = 1_500_000
+#: Fields with a common dictionary.
+KINDS = {"au": "au", "de": "kw", "id": "kw", "c1": "c1"}
+Known = dict  # kind -> automaton of its known values
 
 #: Delimiter classes from the unmistakable to the doubtful; a field is split at the strongest it has.
 _STRONG = {"de": ";；|·\t\n\r", "id": ";；|·\t\n\r", "au": ";；|·\t\n\r", "c1": ";；|\t\n\r"}
@@ -130,8 +138,8 @@ _SINGLE = {"N": 0.0, "M": 1.2, "S": 2.0, "U": 2.0, "G": 3.0, "I": 4.0}
 _PAIR = {("U", "I"): 0.0, ("M", "I"): 0.0, ("U", "G"): 0.0, ("M", "G"): 0.0, ("G", "G"): 1.0, ("G", "I"): 0.5, ("U", "U"): 1.0, ("M", "U"): 0.6, ("G", "U"): 1.5, ("N", "G"): 2.5, ("N", "I"): 1.5, ("N", "U"): 2.1}
 
 
-def _cover_names(text: str, toks: list[tuple[int, int, str]], given: frozenset[str]) -> list[str]:
-    """Dynamic programming over commas and 'and': which commas invert a name, which part two names."""
+def _cover_names(text: str, toks: list[tuple[int, int, str]], given: frozenset[str], automaton=None) -> list[str]:
+    """Dynamic programming over commas and 'and': which commas invert a name, which part two names; a known name costs least."""
     bounds = [(0, 0, "s"), *toks, (len(text), len(text), "s")]
     atoms, glue = [], []  # glue[i]: a plain comma between atom i-1 and atom i
     pend = "s"
@@ -146,9 +154,13 @@ def _cover_names(text: str, toks: list[tuple[int, int, str]], given: frozenset[s
     kinds = [_name_kind(_clean(a[2]), given) for a in atoms]
     quoted = [a[2][0] == '"' for a in atoms]
     n = len(atoms)
+    spans = _spans(text, [(s, e) for s, e, _ in atoms], automaton)
     best: list[tuple[float, int]] = [(0.0, 0)] + [(1e9, 0)] * n
     for j in range(1, n + 1):
         best[j] = (best[j - 1][0] + _SINGLE[kinds[j - 1]], j - 1)
+        for i in spans.get(j, ()):
+            if j - i == 2 and glue[j - 1] and best[i][0] < best[j][0]:
+                best[j] = (best[i][0], i)
         if j > 1 and glue[j - 1] and not (quoted[j - 1] or quoted[j - 2]):
             c = best[j - 2][0] + _PAIR.get((kinds[j - 2], kinds[j - 1]), 4.0)
             if c < best[j][0]:
@@ -160,57 +172,88 @@ def _cover_names(text: str, toks: list[tuple[int, int, str]], given: frozenset[s
     return [text[atoms[a][0] : atoms[b - 1][1]] for a, b in reversed(cuts)]
 
 
-def _cover_known(text: str, cuts: list[tuple[int, int, str]], automaton) -> list[str]:
-    """Cheapest cover by atoms between delimiters (1 each) or known values spanning several (0.5)."""
-    bounds = [(0, 0), *[(a, b) for a, b, _ in cuts], (len(text), len(text))]
-    if automaton is None:
-        return [text[s:e] for (_, s), (e, _) in zip(bounds, bounds[1:])]
-    lower = text.lower()
-    if len(lower) != len(text):
-        lower = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
-    start = {}
-    end = {}
-    for k, ((_, s), (e, _)) in enumerate(zip(bounds, bounds[1:])):
+def _lower(text: str) -> str:
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+
+
+def _spans(text: str, pieces: list[tuple[int, int]], automaton) -> dict[int, list[int]]:
+    """Known values over several pieces: {piece after the last one: [first pieces]}."""
+    spans: dict[int, list[int]] = {}
+    if automaton is None or len(pieces) < 2:
+        return spans
+    start, end = {}, {}
+    for k, (s, e) in enumerate(pieces):
         piece = text[s:e]
         start[s + len(piece) - len(piece.lstrip())] = k
         end[s + len(piece.rstrip())] = k + 1
-    spans: dict[int, list[int]] = {}
-    for last, size in automaton.iter(lower):
+        if (m := _BRACKETED.match(piece)) and m.end() < len(piece):
+            start[s + m.end()] = k
+    for last, size in automaton.iter(_lower(text)):
         a, b = last + 1 - size, last + 1
         if a in start and b in end and end[b] - start[a] > 1:
             spans.setdefault(end[b], []).append(start[a])
-    n = len(bounds) - 1
-    best: list[tuple[float, int]] = [(0.0, 0)] + [(1e9, 0)] * n
+    return spans
+
+
+#: The authors before an address; a known address is known without them.
+_BRACKETED = re.compile(r"\s*\[[^\]]*\]\s*")
+
+
+def _pieces(text: str, cuts: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
+    bounds = [(0, 0), *[(a, b) for a, b, _ in cuts], (len(text), len(text))]
+    return [(s, e) for (_, s), (e, _) in zip(bounds, bounds[1:])]
+
+
+def _cover_known(text: str, cuts: list[tuple[int, int, str]], automaton, atom: float = 1.0) -> list[str]:
+    """Cheapest cover by atoms between delimiters (``atom`` each) or known values spanning several (0.5)."""
+    pieces = _pieces(text, cuts)
+    spans = _spans(text, pieces, automaton)
+    if not spans:
+        return [text[s:e] for s, e in pieces] if atom < ONLY_KNOWN else [text]
+    n = len(pieces)
+    best: list[tuple[float, int]] = [(0.0, 0)] + [(ONLY_KNOWN, 0)] * n
     for j in range(1, n + 1):
-        best[j] = (best[j - 1][0] + 1, j - 1)
+        best[j] = (best[j - 1][0] + atom, j - 1)
         for i in spans.get(j, ()):
             if best[i][0] + 0.5 < best[j][0]:
                 best[j] = (best[i][0] + 0.5, i)
+    if best[n][0] >= ONLY_KNOWN:
+        return [text]
     out, j = [], n
     while j:
         i = best[j][1]
-        out.append(text[bounds[i][1] : bounds[j][0]])
+        out.append(text[pieces[i][0] : pieces[j - 1][1]])
         j = i
     return out[::-1]
 
 
-def split_field(text: str | None, fld: str, automaton=None, given: frozenset[str] = frozenset()) -> list[str]:
+#: A cost that no cover by known values reaches; with it for an atom, a text is covered by known values or stays whole.
+ONLY_KNOWN = 1e9
+
+
+def split_field(text: str | None, fld: str, known: Known | None = None, given: frozenset[str] = frozenset()) -> list[str]:
     """The values of one field in order."""
     if text is None or not text.strip():
         return []
     if fld in ("de", "id") and _LIST.match(text):
         return [v for m in _LIST_ITEM.finditer(text.strip()[1:-1]) if (v := re.sub(r"\\(.)", r"\1", (m.group(1) if m.group(1) is not None else m.group(2))).strip())]
-    if not _PLAIN[fld].search(text) and _SPLIT_STRONG[fld].search(text):
-        return [v for p in _SPLIT_STRONG[fld].split(text) if (v := p.strip())]
-    toks = _tokens(text, fld)
+    automaton = known.get(KINDS[fld]) if known else None
+    strong = _SPLIT_STRONG[fld].search(text)
+    if strong and not _PLAIN[fld].search(text):
+        toks = [(m.start(), m.end(), "s") for m in _SPLIT_STRONG[fld].finditer(text)]
+    else:
+        toks = _tokens(text, fld)
     classes = {t[2] for t in toks}
     if "s" in classes:
-        pieces = _cover_known(text, [t for t in toks if t[2] == "s"], None)
+        pieces = _cover_known(text, [t for t in toks if t[2] == "s"], automaton)
     elif fld == "c1":
-        quoted = [t for t in toks if t[2] == "w" and text[: t[0]].rstrip().endswith('"') and text[t[1] :].lstrip().startswith('"')] if '"' in text else []
-        pieces = _cover_known(text, quoted, None)
+        weak = [t for t in toks if t[2] == "w"]
+        quoted = [t for t in weak if text[: t[0]].rstrip().endswith('"') and text[t[1] :].lstrip().startswith('"')] if '"' in text else []
+        # commas part the lines of an address: they part addresses only where all of them are known
+        pieces = _cover_known(text, quoted, None) if quoted else _cover_known(text, weak, automaton, ONLY_KNOWN)
     elif fld == "au":
-        pieces = _cover_names(text, [t for t in toks if t[2] in "wa"], given) if toks else [text]
+        pieces = _cover_names(text, [t for t in toks if t[2] in "wa"], given, automaton) if toks else [text]
     elif "m" in classes:
         pieces = _cover_known(text, [t for t in toks if t[2] == "m"], automaton)
     else:
@@ -221,34 +264,34 @@ def split_field(text: str | None, fld: str, automaton=None, given: frozenset[str
 # --- Spark -----------------------------------------------------------------------------------------
 
 
-def mine_dictionary(df: DataFrame, fields: tuple[str, ...] = FIELDS) -> tuple[list[str], frozenset[str]]:
-    """(known whole values with a weak delimiter inside, given names), each above the support bound."""
-    parts = []
+#: A quoted or listed value: what stands around it is a delimiter or the end of the field or list.
+_WHOLE = r"""(?:^|[;；|,\[])\s*(?:"((?:[^"]|"")+)"|'([^']+)')(?=\s*(?:[;；|,\]]|$))"""
+
+
+def mine_dictionary(df: DataFrame, fields: tuple[str, ...] = FIELDS) -> DataFrame:
+    """(kind, v): known whole values with a delimiter inside, in lower case; kind ``given`` has the given names."""
+    sides = []
     for f in fields:
-        if f == "c1":
-            continue
-        bare = F.regexp_replace(F.col(f), _ENTITY, "")
-        pieces = F.split(bare, "[;；|\\n\\t·]")
-        one = F.explode(F.when(F.size(pieces) > 1, pieces)).alias("v")
-        p = df.select(one).select(F.lower(F.trim(F.regexp_replace("v", '^\\s*"|"\\s*$', ""))).alias("v"), F.trim("v").alias("raw"))
+        kind, bare = KINDS[f], F.regexp_replace(F.col(f), _ENTITY, "")
+        if f == "c1":  # the authors' own delimiters are none
+            bare = F.regexp_replace(bare, "\\[[^\\]]*\\]", "")
+        pieces = F.split(bare, "[;；|\\n\\t" + ("" if f == "c1" else "·") + "]")
+        # between strong delimiters, where no quote is cut apart
+        parts = F.filter(pieces, lambda p: F.pmod(F.length(p) - F.length(F.replace(p, F.lit('"'), F.lit(""))), F.lit(2)) == 0)
+        apart = F.when(F.size(pieces) > 1, parts)
+        strong = df.select(F.lit(kind).alias("kind"), F.explode(apart).alias("raw"))
+        quoted = df.where(F.col(f).rlike("[\"']")).select(F.lit(kind).alias("kind"), F.explode(F.flatten(F.array(*[F.regexp_extract_all(F.col(f), F.lit(_WHOLE), F.lit(g)) for g in (1, 2)]))).alias("raw")).where("raw like '%;%'")
+        both = strong.unionByName(quoted) if f != "au" else strong
+        sides.append(both.select("kind", F.lower(F.trim(F.regexp_replace("raw", '^\\s*"|"\\s*$', ""))).alias("v")).where("(v like '%, %' or v like '% / %' or v like '%;%') and not v like '%\"%'"))
         if f == "au":
             # inverted names: the first word after the only comma, unless it is initials
-            m = "^[^,]+, *(\\p{Lu}\\p{Ll}+)(?: |$)[^,]*$"
-            p = p.select(F.lower(F.regexp_extract("raw", m, 1)).alias("v")).where("length(v) > 1").withColumn("kind", F.lit("given"))
-        else:
-            p = p.select("v").where("(v like '%, %' or v like '% / %') and length(v) < 80 and not v like '%\"%'").withColumn("kind", F.lit("value"))
-        parts.append(p)
-    if not parts:
-        return [], frozenset()
-    both = parts[0]
-    for p in parts[1:]:
-        both = both.unionByName(p)
-    least = max(MIN_ROWS, df.count() * SUPPORT)
-    rows = both.groupBy("kind", "v").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least).collect()  # bounded, see above
-    return sorted(r.v for r in rows if r.kind == "value"), frozenset(r.v for r in rows if r.kind == "given")
-
-
-@lru_cache(maxsize=4)
+            word = F.lower(F.regexp_extract(F.trim("raw"), "^[^,]+, *(\\p{Lu}\\p{Ll}+)(?: |$)[^,]*$", 1))
+            sides.append(strong.select(F.lit("given").alias("kind"), word.alias("v")).where("length(v) > 1"))
+    every = functools.reduce(DataFrame.unionByName, sides)
+    return every.groupBy("kind", "v").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= MIN_ROWS).select("kind", "v")
+
+
+@functools.lru_cache(maxsize=8)
 def _automaton(values: tuple[str, ...]):
     import ahocorasick
 
@@ -261,22 +304,71 @@ def _automaton(values: tuple[str, ...]):
     return a
 
 
-def explode_packed(df: DataFrame, id_col: str = "idx", fields: tuple[str, ...] = FIELDS, dictionary: tuple[list[str], frozenset[str]] | None = None) -> DataFrame:
+def _lookups(rows: Iterable[tuple[str, str]]) -> tuple[Known, frozenset[str]]:
+    """Automatons and given names of (kind, value) rows."""
+    by: dict[str, list[str]] = {}
+    for kind, v in rows:
+        by.setdefault(kind, []).append(v)
+    given = frozenset(by.pop("given", ()))
+    return {k: _automaton(tuple(sorted(v))) for k, v in by.items()}, given
+
+
+def stretches(text: str | None, fld: str) -> set[tuple[str, str]]:
+    """(kind, value) for all that a dictionary could know in a field: stretches over several delimiters, and words of names."""
+    if text is None or not text.strip() or (fld in ("de", "id") and _LIST.match(text)):
+        return set()
+    toks, low = _tokens(text, fld), _lower(text)
+    top = next((c for c in "sm" if any(t[2] == c for t in toks)), "w")
+    if fld in ("au", "c1"):
+        top = "s" if top == "s" else "wa"
+    pieces = _pieces(text, [t for t in toks if t[2] in top])
+    out = set()
+    for i, (s, _) in enumerate(pieces):
+        for head in {s, s + (m.end() if (m := _BRACKETED.match(text[s:])) else 0)}:
+            # known names have one comma
+            out |= {(KINDS[fld], low[head:e].strip()) for _, e in (pieces[i + 1 : i + 2] if fld == "au" and top != "s" else pieces[i + 1 :])}
+    if fld == "au":
+        out |= {("given", w) for w in re.findall(r"[^\W\d_]+", low) if len(w) > 1}
+    return out
+
+
+def _by_join(df: DataFrame, fields: tuple[str, ...], dictionary: DataFrame) -> DataFrame:
+    """The rows with a column ``_known``: for each field what the dictionary knows of its text."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = [(h, f, kind, v) for h, f, t in zip(b["h"], b["fld"], b["t"]) for kind, v in stretches(t, f)]
+            yield pd.DataFrame(out, columns=["h", "fld", "kind", "v"])
+
+    texts = functools.reduce(DataFrame.unionByName, [df.select(F.xxhash64(F.lit(f), F.col(f"_{k}")).alias("h"), F.lit(f).alias("fld"), F.col(f"_{k}").alias("t")).where("t IS NOT NULL") for k, f in enumerate(fields)])
+    found = texts.dropDuplicates(["h", "t"]).mapInPandas(run, "h long, fld string, kind string, v string").join(dictionary, ["kind", "v"])
+    known = found.groupBy("h").agg(F.collect_set(F.struct("kind", "v")).alias("known"))  # no more than one text holds
+    for k, f in enumerate(fields):
+        df = df.withColumn("h", F.xxhash64(F.lit(f), F.col(f"_{k}"))).join(known.withColumnRenamed("known", f"_k{k}"), "h", "left").drop("h")
+    return df
+
+
+def explode_packed(df: DataFrame, id_col: str = "idx", fields: tuple[str, ...] = FIELDS, dictionary: DataFrame | None = None, bound: int = BROADCAST) -> DataFrame:
     """(id, fld, pos, val): one row for each value of each field."""
-    values, given = dictionary if dictionary is not None else mine_dictionary(df, fields)
-    known = df.sparkSession.sparkContext.broadcast((tuple(values), given))
+    words = cut(dictionary if dictionary is not None else mine_dictionary(df, fields))
+    small = (words.agg(F.sum(F.length("v"))).first()[0] or 0) <= bound
+    rows = sorted(tuple(r) for r in words.select("kind", "v").collect()) if small else []
+    shared = df.sparkSession.sparkContext.broadcast(rows)
     id_type = df.schema[id_col].dataType.simpleString()
     cols = df.select(F.col(id_col).alias("_id"), *[F.col(f).cast("string").alias(f"_{k}") for k, f in enumerate(fields)])
+    if not small:
+        cols = _by_join(cols, fields, words)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vals, names = known.value
-        automaton = _automaton(vals)
+        known, names = _lookups(shared.value)
         for b in batches:
             ids, flds, poss, out = [], [], [], []
             for k, f in enumerate(fields):
-                for i, text in zip(b["_id"], b[f"_{k}"]):
+                for i, text, own in zip(b["_id"], b[f"_{k}"], b[f"_{k}"] if small else b[f"_k{k}"]):
                     if text:
-                        got = split_field(text, f, automaton, names)
+                        if not small:
+                            known, names = _lookups((x["kind"], x["v"]) for x in (own if own is not None else ()))
+                        got = split_field(text, f, known, names)
                         out += got
                         n = len(got)
                         ids += [i] * n

@@ -1,6 +1,7 @@
 from bibspark.operators.packed import _automaton, explode_packed, mine_dictionary, split_field
 
-KNOWN = _automaton(("models, biological", "aged, 80 and over"))
+WORDS = ["models, biological", "aged, 80 and over", "soil; water"]
+KNOWN = {"kw": _automaton(tuple(WORDS)), "c1": _automaton(("univ x, oslo", "lab y, rome, italy")), "au": _automaton(("brun, clair",))}
 GIVEN = frozenset(["marta", "joseph", "elizabeth", "kiran", "yusuf"])
 
 
@@ -60,7 +61,33 @@ def test_operator_on_nulls_clashing_columns_and_empty(spark):
     assert explode_packed(df.limit(0)).count() == 0
 
 
+def test_fields_that_change_without_the_dictionary():
+    for text, fld, want in (
+        ("x, models, biological", "de", ["x", "models, biological"]),
+        ("x; soil; water; y", "id", ["x", "soil; water", "y"]),
+        ("Univ X, Oslo, Lab Y, Rome, Italy", "c1", ["Univ X, Oslo", "Lab Y, Rome, Italy"]),
+        ("[A, B] Univ X, Oslo, [C] Lab Y, Rome, Italy", "c1", ["[A, B] Univ X, Oslo", "[C] Lab Y, Rome, Italy"]),
+        ("Marin, Brun, Clair, Tek B", "au", ["Marin", "Brun, Clair", "Tek B"]),
+    ):
+        assert split_field(text, fld, KNOWN, frozenset()) == want != split_field(text, fld)
+    # an address is parted at commas only where all of it is known
+    assert s("Univ X, Oslo, Lab Z, Rome", "c1") == ["Univ X, Oslo, Lab Z, Rome"]
+
+
 def test_dictionary_is_mined_from_unmistakable_rows(spark):
-    rows = [(k, "Tek, Marta; Roz, Marta K.", "models, biological; x", None, None) for k in range(5)]
-    values, given = mine_dictionary(spark.createDataFrame(rows, "idx long, au string, de string, id string, c1 string"))
-    assert values == ["models, biological"] and given == {"marta"}
+    schema = "idx long, au string, de string, id string, c1 string"
+    rows = [(k, "Tek, Marta; Roz, Marta K.", "models, biological; x", '"soil; water"; "z"', "[A; B] Univ X, Oslo; Lab Y, Rome") for k in range(5)] + [(9, None, "rare, value; x", None, None)]
+    got = {tuple(r) for r in mine_dictionary(spark.createDataFrame(rows, schema)).collect()}
+    assert got == {("kw", "models, biological"), ("kw", "soil; water"), ("given", "marta"), ("au", "tek, marta"), ("au", "roz, marta k."), ("c1", "univ x, oslo"), ("c1", "lab y, rome")}
+
+
+def test_joined_dictionary_gives_what_the_broadcast_one_gives(spark):
+    rows = [
+        (1, "Roz A, Brun, Clair, Tek B", "x, models, biological, y", "a; soil; water", "Univ X, Oslo, Lab Y, Rome, Italy"), (1, "Roz A, Brun, Clair, Tek B", "x, models, biological, y", None, ""),
+        (2, "Roz, Marta, Tek, Marta K.", "['a', 'b, c']", "aged, 80 and over", "[A; B] Univ X, Oslo, Lab Y, Rome, Italy"), (3, None, None, None, None),
+    ]
+    df = spark.createDataFrame(rows, "idx long, au string, de string, id string, c1 string")
+    words = [("kw", w) for w in WORDS] + [("c1", "univ x, oslo"), ("c1", "lab y, rome, italy"), ("au", "brun, clair"), ("given", "marta")]
+    known = spark.createDataFrame(words, "kind string, v string")
+    a, b = (sorted(tuple(r) for r in explode_packed(df, dictionary=known, bound=n).collect()) for n in (10**6, 0))
+    assert a == b and (2, "c1", 2, "Lab Y, Rome, Italy") in a and (1, "id", 2, "soil; water") in a and (2, "au", 2, "Tek, Marta K.") in a
