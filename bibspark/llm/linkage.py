@@ -2,7 +2,7 @@
 
 Label-model linkage. Candidates are pairs that share a combination of two title words or of an author with
 title words (one rare word, or two frequent ones that are neighbours by alphabet), of authors or the start or end of the
-title with journal and year, or the whole title; single words would make hot keys. Heuristic matching
+title with journal and year, or the whole title; single words would make hot keys, and pairs of words count only if two of them agree. Heuristic matching
 functions vote on each candidate (same, undecided, different, or nothing where a value is missing). A
 generative model learns from the votes alone how often each function says what of pairs that are one
 publication, of related publications (a correction, a reply, a second part, another place) and of strangers.
@@ -211,7 +211,7 @@ def fit_label_model(patterns: np.ndarray, counts: np.ndarray, rounds: int = 500)
     return post[:, 0]
 
 
-#: Candidate keys in SQL over (side, title, cut, names, words, rare, journal, year); a pair needs one of them in common.
+#: Candidate keys in SQL over (side, title, cut, names, words, rare, journal, year): a pair needs one of _KEYS or two of _WEAK in common.
 _PREPARED = {
     "names": "array_distinct(names)",
     "years": "IF(year IS NULL, CAST(array() AS array<int>), array(year, year + 1))",  # at most a year apart: one in common
@@ -219,12 +219,19 @@ _PREPARED = {
     "start": "slice(words, 1, 3)",
     "usual": "IF(size(plain) < 2, array(), transform(sequence(1, size(plain) - 1), i -> concat_ws(' ', plain[i - 1], plain[i])))",
 }
-_KEYS = (
+_WEAK = (
     # each title word with each other one; two frequent words together are no key: too many titles share them
     "flatten(transform(rare, a -> transform(filter(words, b -> b <> a), b -> xxhash64('w', least(a, b), greatest(a, b)))))",
-    # each author with each rare title word and each two frequent ones next by alphabet, in journal and year, and with each other author in the journal
+    # each author with each rare title word and each two frequent ones next by alphabet
     "flatten(transform(names, s -> transform(rare, w -> xxhash64('a', w, s))))",
     "flatten(transform(names, s -> transform(usual, w -> xxhash64('f', w, s))))",
+    # a cut title with all that begin like it in a year: the side of the cut one is part of the key
+    *(f"IF(size(words) > 3 AND (side <> '{x}' OR cut), transform(years, y -> xxhash64('c{x}', start, y)), NULL)" for x in "bd"),
+)
+_KEYS = (
+    # titles of few words have few pairs of them
+    "IF(size(words) <= 4, flatten(transform(names, s -> transform(usual, w -> xxhash64('f', w, s)))), NULL)",
+    # each author in journal and year, and with each other author in the journal
     "IF(journal IS NULL, NULL, flatten(transform(names, s -> transform(years, y -> xxhash64('y', s, journal, y)))))",
     "IF(journal IS NULL, NULL, flatten(transform(names, s -> transform(filter(names, r -> r > s), r -> xxhash64('s', s, r, journal)))))",
     # the whole title; a short one only with an author or in journal and year
@@ -234,18 +241,26 @@ _KEYS = (
     # start and end of the title in journal and year
     "IF(size(words) > 3 AND journal IS NOT NULL, transform(years, y -> xxhash64('p', start, journal, y)), NULL)",
     "IF(size(words) > 3 AND journal IS NOT NULL AND NOT cut, transform(years, y -> xxhash64('e', slice(words, -3, 3), journal, y)), NULL)",
-    # a cut title with all that begin like it in a year or in a journal: the side of the cut one is part of the key
-    *(f"IF(size(words) > 3 AND (side <> '{x}' OR cut), {k}, NULL)" for x in "bd" for k in (f"transform(years, y -> xxhash64('c{x}', start, y))", f"IF(journal IS NULL, NULL, array(xxhash64('j{x}', start, journal)))")),
+    # a cut title with all that begin like it in a journal
+    *(f"IF(size(words) > 3 AND journal IS NOT NULL AND (side <> '{x}' OR cut), array(xxhash64('j{x}', start, journal)), NULL)" for x in "bd"),
 )
 
 
 def candidate_keys(reps: DataFrame, frequent: list[str]) -> DataFrame:
-    """(side, ph, k): the candidate keys of each description; ``frequent`` are words that make no key together."""
+    """(side, ph, k): the candidate keys of each description, weak ones odd; ``frequent`` are words that make no key together."""
     often = F.array(*map(F.lit, frequent)).cast("array<string>")
     rows = reps.select("side", "ph", "title", "cut", "names", "words", "journal", "year").withColumns({"rare": F.array_except("words", often), "plain": F.array_sort(F.array_intersect("words", often))})
     rows = rows.withColumns({c: F.expr(e) for c, e in _PREPARED.items()})
     none = F.expr("CAST(array() AS array<bigint>)")
-    return rows.select("side", "ph", F.explode(F.array_distinct(F.concat(*[F.coalesce(F.expr(e), none) for e in _KEYS]))).alias("k"))
+    keys = lambda es, odd: F.transform(F.concat(*[F.coalesce(F.expr(e), none) for e in es]), lambda k: k.bitwiseAND(F.lit(-2)).bitwiseOR(F.lit(odd)))
+    return rows.select("side", "ph", F.explode(F.array_distinct(F.concat(keys(_KEYS, 0), keys(_WEAK, 1)))).alias("k"))
+
+
+def candidates(keyed: DataFrame) -> DataFrame:
+    """(pa, pb): descriptions of either side with a key or two weak ones in common."""
+    left = keyed.where("side = 'b'").select("k", F.col("ph").alias("pa"))
+    right = keyed.where("side = 'd'").select("k", F.col("ph").alias("pb"))
+    return left.join(right, "k").groupBy("pa", "pb").agg(F.sum(F.expr("IF(k & 1 = 1, 1, 2)")).alias("n")).where("n > 1").select("pa", "pb")
 
 
 def link(records: DataFrame, others: DataFrame, journals: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -276,10 +291,7 @@ def link(records: DataFrame, others: DataFrame, journals: DataFrame, threshold:
     # one row for each distinct description of a side; a hash is no more than 16 bytes of shuffle
     reps = cut(rows.drop("id").dropDuplicates(["side", "ph"]))
 
-    keyed = candidate_keys(reps, sorted(frequent))
-    left = keyed.where("side = 'b'").select("k", F.col("ph").alias("pa"))
-    right = keyed.where("side = 'd'").select("k", F.col("ph").alias("pb"))
-    pairs = left.join(right, "k").select("pa", "pb").distinct()
+    pairs = candidates(candidate_keys(reps, sorted(frequent)))
     cols = ["title", "cut", "numbers", "names", "partial", "journal", "year"]
     side = lambda s, x: reps.where(f"side = '{s}'").select(F.col("ph").alias(f"p{x}"), F.struct(*cols).alias(x))
     full = pairs.join(side("b", "a"), "pa").join(side("d", "b"), "pb")

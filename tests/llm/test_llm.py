@@ -295,8 +295,7 @@ def test_common_words_and_misspelt_names_still_share_a_key(spark):
     ]
     frequent = [*title.split(), "lakes"]
     k = linkage.candidate_keys(spark.createDataFrame(rows, cols), frequent)
-    pairs = k.where("side = 'b'").selectExpr("k", "ph AS pa").join(k.where("side = 'd'").selectExpr("k", "ph AS pb"), "k").select("pa", "pb").distinct()
-    assert {tuple(r) for r in pairs.collect()} == {(1, 2), (3, 4), (3, 5), (6, 7)}
+    assert {tuple(r) for r in linkage.candidates(k).collect()} == {(1, 2), (3, 4), (3, 5), (6, 7)}
     assert linkage.candidate_keys(spark.createDataFrame(rows, cols).limit(0), []).count() == 0
 
 
