@@ -405,6 +405,16 @@ def test_spam(spark):
     assert got == set(SPAM) | {30 + k for k in SPAM}
     assert spam.spam_pages(docs.limit(0)).count() == 0
     assert spam.evidence("low fee, " * 50_000)[0] == 100_000
+    # no page is flagged for its form alone: another host must have its phrases
+    alone = spark.createDataFrame([(k, t, "one.test") for k, t in SPAM.items()], "doc_id long, text string, site string")
+    assert spam.spam_pages(alone).count() == 0
+
+
+def test_phrases_of_a_page():
+    n = lambda t: sorted(spam.shingles(t, {})[1].tolist())
+    assert n("low fee, low fee") == [2, 2, 2] and n("low; fee") == [1, 1] and n(None) == [] == n(" ;")
+    assert n("see https://www.a-b.test/buy/1") == [1] * 10  # see; a b test buy 1 and their neighbours
+    assert len(spam.shingles("wing length " * 50_000, {})[0]) == 4
 
 
 def test_nothing_else_imports_this_package():
