@@ -221,7 +221,7 @@ _PREPARED = {
 }
 _WEAK = (
     # each title word with each other one; two frequent words together are no key: too many titles share them
-    "flatten(transform(rare, a -> transform(filter(words, b -> b <> a), b -> xxhash64('w', least(a, b), greatest(a, b)))))",
+    "flatten(transform(rare, a -> transform(filter(words, b -> b < a OR (b > a AND NOT array_contains(rare, b))), b -> xxhash64('w', least(a, b), greatest(a, b)))))",
     # each author with each rare title word and each two frequent ones next by alphabet
     "flatten(transform(names, s -> transform(rare, w -> xxhash64('a', w, s))))",
     "flatten(transform(names, s -> transform(usual, w -> xxhash64('f', w, s))))",
@@ -248,12 +248,15 @@ _KEYS = (
 
 def candidate_keys(reps: DataFrame, frequent: list[str]) -> DataFrame:
     """(side, ph, k): the candidate keys of each description, weak ones odd; ``frequent`` are words that make no key together."""
-    often = F.array(*map(F.lit, frequent)).cast("array<string>")
-    rows = reps.select("side", "ph", "title", "cut", "names", "words", "journal", "year").withColumns({"rare": F.array_except("words", often), "plain": F.array_sort(F.array_intersect("words", often))})
+    often = lambda w: w.isin(*frequent) if frequent else F.lit(False)  # noqa: E731 (a hash set, made once)
+    rows = reps.select("side", "ph", "title", "cut", "names", "words", "journal", "year")
+    rows = rows.withColumns({"rare": F.filter("words", lambda w: ~often(w)), "plain": F.array_sort(F.filter("words", often))})
     rows = rows.withColumns({c: F.expr(e) for c, e in _PREPARED.items()})
     none = F.expr("CAST(array() AS array<bigint>)")
-    keys = lambda es, odd: F.transform(F.concat(*[F.coalesce(F.expr(e), none) for e in es]), lambda k: k.bitwiseAND(F.lit(-2)).bitwiseOR(F.lit(odd)))
-    return rows.select("side", "ph", F.explode(F.array_distinct(F.concat(keys(_KEYS, 0), keys(_WEAK, 1)))).alias("k"))
+    array = lambda es: F.concat(*[F.coalesce(F.expr(e), none) for e in es])
+    both = rows.select("side", "ph", array(_KEYS).alias("strong"), array(_WEAK).alias("weak"))
+    each = both.select("side", "ph", F.size("strong").alias("n"), F.posexplode(F.concat("strong", "weak")).alias("pos", "k"))
+    return each.select("side", "ph", F.expr("(k & -2L) | IF(pos < n, 0L, 1L)").alias("k"))
 
 
 def candidates(keyed: DataFrame) -> DataFrame:

@@ -53,6 +53,37 @@ def test_clean_text_stays(text):
     assert garbled.examine(text, "ti") == (False, None)
 
 
+SCRIPTS = ["العربية لغة جميلة", "שלום עולם", "中文信息处理", "日本語のテキスト", "Αθήνα και Σπάρτη", "İstanbul'da öğretim ve ağ yapısı", "Příliš žluťoučký kůň úpěl", "한국어 정보", "हिन्दी भाषा", "emoji 😀 ok"]
+
+
+@pytest.mark.parametrize("text", [*SCRIPTS, "A MANHÃ NA PRAIA", "see http://x.org/p?id=3", "What is life? the answer", "Why?Because", "(?)", "Ça va ? Oui", "ÀÉÎ ÕÜ", "ТЕКСТ ЗАГЛАВНЫМИ", "文", "α-синуклеин"])
+def test_clean_text_of_other_scripts_and_questions_stay(text):
+    assert garbled.examine(text, "ti") == (False, None) == garbled.examine(text, "ab")
+
+
+@pytest.mark.parametrize("enc", ["cp1252", "latin-1", "mac_roman", "cp437", "cp1251"])
+@pytest.mark.parametrize("text", SCRIPTS)
+def test_round_trip_of_other_scripts(enc, text):
+    def layer(t, e):
+        return "".join(chr(garbled._table(e)[b]) for b in t.encode("utf-8"))
+
+    assert garbled.examine(layer(text, enc), "ti") == (True, text)
+    deep = text
+    for _ in range(6):
+        deep = layer(deep, "cp1252")
+    assert garbled.examine(deep, "ti") == (True, text)
+
+
+@pytest.mark.parametrize("text", ["Αθήνα", "Αθήνα και Σπάρτη", "Η μελέτη της ροής"])
+def test_greek_read_as_western(text):
+    assert garbled.examine(text.encode("cp1253").decode("cp1252"), "ti") == (True, text)
+
+
+def test_nothing_half_peeled_is_returned():
+    assert garbled.examine("caf" + "é".encode().decode("cp1252") + " Ã\x9f", "ti") in ((True, None), (True, "café ß"))
+    assert garbled.examine("Ð\x90Ð¼ и Ã©Ð\x81\x81", "ti")[1] is None
+
+
 @pytest.mark.parametrize("text", ["Evaluaci�n", "Situa??o atual", "Nisho?y, I", "Ãƒ�"])
 def test_lost_characters(text):
     assert garbled.examine(text, "au") == (True, None)
