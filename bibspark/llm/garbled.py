@@ -110,7 +110,7 @@ _INNER_CAPITAL = re.compile(r"[à-öø-ÿа-яёα-ώ][À-ÖØ-ÞА-ЯЁΑ-Ω]")
 #: The no-break space inside a sequence turned into a plain one on the way. A word in capitals may end in Ã.
 _SPACED = ((re.compile("ÃƒÂ "), "ÃƒÂ\xa0"), (re.compile("(?<![A-ZÀ-Ý])Ã  "), "Ã\xa0 "), (re.compile("(?<![A-ZÀ-Ý])Ã "), "Ã\xa0"))
 #: The image of a sequence that no layer explains.
-_REST = re.compile("[ÃÂ][\x80-\xbf€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ]|â€|[ÐÑØÙ][\x80-\x9f°±²³µ¶·¸¹º»¼½¾¿]")
+_REST = re.compile("[ÃÂ][\x80-\xbf€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ]|â€|[\x80-\x84\x86-\x9f]|[ÐÑØÙ][°±²³µ¶·¸¹º»¼½¾¿]")
 _LOST_MARK = re.compile("�")
 #: Question marks that are part of a link or an address, or stand in brackets by themselves.
 _Q_PROPER = re.compile(r"(?:https?://|www\.)\S+|\S+\?\w+=\S*|\(\?+\)|\[\?+\]")
