@@ -4,16 +4,18 @@ Systematic sampling. Every document of a source has the same expected number of
 source must supply divided by the tokens it has, but no more than ``max_repeats``. Expected copies are
 summed up along the source; with one random offset for the source, a document comes out once for every
 integer the sum crosses. So each document is used either floor or ceiling of the expectation and the
-source's total is met within one document's copies. Of a few offsets drawn the one that comes closest
-to the requested tokens is used.
+source's total is met within one document's copies.
 
 Documents are lined up from the shortest to the longest, so that every stretch of sizes is used alike
 and the tokens follow the expectation, not only the number of documents. The running sum doesn't need a
 source in one task: a source is spread over buckets of bounded size (a class of sizes, then a part of
 it), numbered within, and started at the number of documents in the buckets before (a table of buckets).
 
-Total: ``total_tokens`` if given, else the tokens of the listed sources. Shares of sources without
-documents can't be supplied; a source at its cap stays below its share. The report shows both.
+Total: ``total_tokens`` if given, else the tokens of the listed sources; both are an upper bound while
+``keep_shares`` is set. Then the total is the largest at which no source needs more than its cap allows,
+and every source with documents supplies its share of what is really put together; the shares of sources
+without documents go to the others in proportion. Without ``keep_shares`` the total stays, a source at
+its cap falls short, and the others' actual shares grow. The report shows target and actual shares.
 
 Defined results: sources that aren't listed, null sources and texts without tokens supply nothing; a
 source listed twice counts with the sum of its shares and the smaller cap; a cap or share of null or
@@ -31,35 +33,37 @@ from bibspark.session import cut
 #: Documents in a bucket, the largest group that one task numbers.
 BUCKET = 200_000
 SEED = 42
-#: Offsets drawn for a source; a long document in or out then matters less in a small source.
-DRAWS = 16
 
 
-def _plan(sized: DataFrame, targets: DataFrame, total_tokens: int | None) -> DataFrame:
+def _plan(sized: DataFrame, targets: DataFrame, total_tokens: int | None, keep_shares: bool) -> DataFrame:
     """One row for each listed source: what it has, what it must supply, expected copies of a document."""
     want = targets.where("source IS NOT NULL").groupBy("source").agg(
         F.sum(F.greatest(F.coalesce("target_share", F.lit(0.0)), F.lit(0.0))).alias("target_share"), F.min(F.greatest(F.coalesce("max_repeats", F.lit(0)), F.lit(0))).alias("max_repeats")
     )
     have = sized.groupBy("source").agg(F.count(F.lit(1)).alias("documents"), F.sum("n_tokens").alias("available"))
     plan = want.join(have, "source", "left").select("source", "target_share", "max_repeats", F.coalesce("documents", F.lit(0)).alias("documents"), F.coalesce("available", F.lit(0)).alias("available"))
-    if total_tokens is None:
-        total = plan.agg(F.sum("available").alias("total"))
-        plan = plan.crossJoin(F.broadcast(total))  # one row
+    live = (F.col("available") > 0) & (F.col("max_repeats") > 0) & (F.col("target_share") > 0)
+    whole = plan.agg(F.sum("available").alias("has"), F.sum(F.when(live, F.col("target_share"))).alias("shares"), F.min(F.when(live, F.col("available") * F.col("max_repeats") / F.col("target_share"))).alias("reach"))
+    plan = plan.crossJoin(F.broadcast(whole))  # one row
+    total = F.col("has") if total_tokens is None else F.lit(total_tokens)
+    if keep_shares:
+        # the smallest of what the sources can reach, each for its share among those with documents
+        ask = F.when(live, F.col("target_share") / F.col("shares") * F.least(total.cast("double"), F.col("reach") * F.col("shares"))).otherwise(0.0)
     else:
-        plan = plan.withColumn("total", F.lit(total_tokens).cast("long"))
-    ask = F.col("target_share") * F.col("total")
-    return plan.withColumn("copies", F.when(F.col("available") > 0, F.least(F.col("max_repeats").cast("double"), ask / F.col("available"))).otherwise(0.0)).withColumn("requested", ask)
+        ask = F.col("target_share") * total
+    copies = F.when(F.col("available") > 0, F.least(F.col("max_repeats").cast("double"), F.round(ask / F.col("available"), 9))).otherwise(0.0)
+    return plan.withColumn("copies", copies).withColumn("requested", ask).drop("has", "shares", "reach")
 
 
 def _sized(documents: DataFrame, tokenizer: str) -> DataFrame:
     return cut(with_tokens(documents, ["doc_id", "source"], path=tokenizer).where("n_tokens > 0 AND source IS NOT NULL"))
 
 
-def mix(documents: DataFrame, targets: DataFrame, total_tokens: int | None = None, seed: int = SEED, tokenizer: str = f"{FOLDER}/{VOCABULARY}") -> tuple[DataFrame, DataFrame]:
+def mix(documents: DataFrame, targets: DataFrame, total_tokens: int | None = None, keep_shares: bool = True, seed: int = SEED, tokenizer: str = f"{FOLDER}/{VOCABULARY}") -> tuple[DataFrame, DataFrame]:
     """(doc_id, source, copy, n_tokens) of the mixture, and the report by source."""
     sized = _sized(documents, tokenizer)
     # listed sources only: a list of a few rows
-    plan = cut(_plan(sized, targets, total_tokens))
+    plan = cut(_plan(sized, targets, total_tokens, keep_shares))
     n = sized.count()
     parts = max(1, -(-4 * n // BUCKET))
     size_class = F.floor(F.log2(F.col("n_tokens").cast("double")) * 8)
@@ -70,14 +74,10 @@ def mix(documents: DataFrame, targets: DataFrame, total_tokens: int | None = Non
     start = sums.withColumn("start", F.coalesce(F.sum("n").over(w), F.lit(0))).select("source", "bucket", "start")
     order = Window.partitionBy("source", "bucket").orderBy("n_tokens", F.xxhash64("doc_id", F.lit(seed + 1)), "doc_id")
     k = used.withColumn("k", F.row_number().over(order)).join(start, ["source", "bucket"])
-    # offsets in [0, 1) drawn for each source; the one whose tokens come closest to the request is used
-    draw = lambda j: F.pmod(F.xxhash64("source", F.lit(seed), F.lit(j)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    # one offset in [0, 1) for each source
+    offset = F.pmod(F.xxhash64("source", F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     place = F.col("start") + F.col("k")
-    times = lambda u: (F.floor(place * F.col("copies") + u) - F.floor((place - 1) * F.col("copies") + u)).cast("int")
-    k = cut(k)
-    tried = k.groupBy("source").agg(F.max("copies").alias("copies"), F.sum(F.col("copies") * F.col("n_tokens")).alias("due"), *[F.sum(times(draw(j)) * F.col("n_tokens")).alias(f"t{j}") for j in range(DRAWS)])
-    best = tried.select("source", F.array_min(F.array(*[F.struct(F.abs(F.col(f"t{j}") - F.col("due")).alias("off"), F.lit(j).alias("j"), draw(j).alias("u")) for j in range(DRAWS)]))["u"].alias("u"))
-    k = k.join(F.broadcast(best), "source").withColumn("times", times(F.col("u")))  # a row for each listed source
+    k = cut(k.withColumn("times", (F.floor(place * F.col("copies") + offset) - F.floor((place - 1) * F.col("copies") + offset)).cast("int")))
     out = k.where("times > 0").select("doc_id", "source", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("copy"), "n_tokens")
     reached = k.groupBy("source").agg(F.sum(F.col("times") * F.col("n_tokens")).alias("tokens"), F.sum("times").alias("used"))
     rep = plan.join(reached, "source", "left").select("source", "target_share", "max_repeats", "documents", "available", "copies", "requested", F.coalesce("used", F.lit(0)).alias("used"), F.coalesce("tokens", F.lit(0)).alias("tokens"))

@@ -401,6 +401,11 @@ def test_mixing(spark):
     r = {x.source: x for x in rep.collect()}
     assert r["b"].capped and not r["a"].capped and r["none"].tokens == 0 and abs(r["a"].supplied - 1) < 0.03
     assert abs(sum(x.actual_share for x in r.values()) - 1) < 1e-9
+    # the total is what the smaller source reaches at its cap: both keep their shares
+    assert abs(r["a"].actual_share - 5 / 9) < 0.02 and abs(r["b"].actual_share - 4 / 9) < 0.02
+    _, rep = mixing.mix(docs, t, keep_shares=False)
+    r = {x.source: x for x in rep.collect()}
+    assert r["b"].capped and r["b"].actual_share < 0.2 and abs(r["a"].supplied - 1) < 0.03
     exact, rep = mixing.mix(docs, t.where("source <> 'none'"), total_tokens=100)
     assert all(abs(x.supplied - 1) < 0.2 for x in rep.collect())
     empty, rep = mixing.mix(docs.limit(0), t)
