@@ -9,11 +9,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def lcs(a: str, b: str) -> int:
-    """Length of the longest common subsequence, one machine-word operation row for each character of ``b``."""
+def masks(a: str) -> dict[str, int]:
+    """Places of each character, a bit for each."""
     at: dict[str, int] = {}
     for i, ch in enumerate(a):
         at[ch] = at.get(ch, 0) | (1 << i)
+    return at
+
+
+def lcs(a: str, b: str, at: dict[str, int] | None = None) -> int:
+    """Length of the longest common subsequence, one machine-word operation row for each character of ``b``."""
+    at = masks(a) if at is None else at
     full = (1 << len(a)) - 1
     v = full
     for ch in b:
@@ -38,7 +44,7 @@ def _histograms(texts: list[str]) -> np.ndarray:
     if len(_seen) > 200_000:
         _seen.clear()
     for t in texts:
-        if t not in _seen:
+        if t not in _seen:  # UTF-16 units; equal characters are equal units
             _seen[t] = np.bincount(np.frombuffer(t.encode("utf-16-le", "surrogatepass"), dtype=np.uint16) % 40, minlength=40).astype(np.int16 if len(t) < 16_000 else np.int32)
     return np.array([_seen[t] for t in texts])
 
@@ -65,6 +71,25 @@ def ratios(left: pd.Series, right: pd.Series, least: float = 0.0) -> np.ndarray:
     return out
 
 
+#: Columns of the unary form of counts; longer texts are compared count by count.
+_WIDE = 6000
+
+
+def bounds(a: list[str], b: list[str]) -> np.ndarray:
+    """Upper bounds of the ratios of all texts of ``a`` with all of ``b``, from their counts of characters."""
+    ha, hb = _histograms(a).astype(np.int64), _histograms(b).astype(np.int64)
+    n, m = ha.sum(1), hb.sum(1)
+    most = np.minimum(ha.max(0), hb.max(0))
+    if most.sum() <= _WIDE:
+        # a count of k as k ones: the common part of two counts is a scalar product
+        one = lambda h: np.concatenate([h[:, [c]] > np.arange(k) for c, k in enumerate(most)] or [np.zeros((len(h), 0))], axis=1).astype(np.float32)
+        common = one(ha) @ one(hb).T
+    else:
+        common = np.array([np.minimum(x, hb).sum(1) for x in ha])
+    total = n[:, None] + m[None, :]
+    return np.where(total > 0, 200.0 * common / np.maximum(total, 1), 100.0)
+
+
 def indel_ratio(a, b, least: float = 0.0):
     """Column of ratios; values certainly below ``least`` may come out as 0."""
 

@@ -5,7 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from bibspark.functions.similarity import lcs, ratio, ratios
-from bibspark.operators.dedup import dedup, leaders
+from bibspark.operators.dedup import dedup, leaders, title_pairs
 
 import pandas as pd
 
@@ -37,8 +37,9 @@ def test_filtered_ratios_miss_nothing(pairs):
 def test_leaders_equal_a_loop(spark):
     rng = random.Random(5)
     nodes = [(f"b{k % 3}", k) for k in range(60)]
+    # with a bound of 0 every block is resolved in rounds
     pairs = [(b, i, j) for b, i in nodes for c, j in nodes if b == c and i < j and rng.random() < 0.12]
-    got = {r.idx: r.keep for r in leaders(spark.createDataFrame(nodes, "block string, idx long"), spark.createDataFrame(pairs, "block string, i long, j long")).collect()}
+    got, rounds = ({r.idx: r.keep for r in leaders(spark.createDataFrame(pairs, "block string, i long, j long"), fold).collect()} for fold in (5000, 0))
     want = {}
     for b, i in nodes:
         if i in want:
@@ -47,7 +48,24 @@ def test_leaders_equal_a_loop(spark):
             if x == i and j not in want:
                 want[j] = i
     # the first leader that resembles a row is its keeper
-    assert got == want
+    assert got == want == rounds
+
+
+def test_tiles_miss_no_pair(spark):
+    rng = random.Random(8)
+    words = ["soil", "waters", "carbon", "trend", "of", "in", "index", "storage", "x"]
+    titles = ["soil " + " ".join(rng.choice(words) for _ in range(rng.randrange(1, 14))) for _ in range(150)] + ["soil" + "y" * 7000, "soil" + "y" * 7001 + "z"]
+    rows = [(k, t) for k, t in enumerate(titles)]
+    df = spark.createDataFrame(rows, "idx long, TI string")
+    first = {}
+    for k, t in rows:
+        if len(t) > 5:
+            first.setdefault(t, k)
+    want = {(i, j): ratio(a, b) for a, i in first.items() for b, j in first.items() if i < j and a[:4] == b[:4] and ratio(a, b) >= 90}
+    for tile in (1000, 7):
+        got = title_pairs(df, tile=tile).collect()
+        assert len(got) == len(want) and {(r.i, r.j): r.score for r in got} == want
+    assert len(want) > 5
 
 
 def brute(rows, t=90.0, at=85.0):
