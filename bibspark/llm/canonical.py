@@ -6,9 +6,10 @@ distance that depends on the length of the value. Before that both sides are bro
 case, accents, punctuation, small words, volume numbers, and abbreviated words, which are expanded by
 the pairs that the reference list itself shows or where they begin exactly one word of it.
 
-The lists are of fixed size; ``MAX_REFERENCE`` checks it, and a longer list is searched in shards of
-that size, of which the closest answer wins. Values are looked up where they stand, so there is no
-shuffle; a bounded cache for each Python worker spares repeated values.
+A list of at most ``MAX_REFERENCE`` entries is broadcast, and values are looked up where they stand, so
+there is no shuffle; a bounded cache for each Python worker spares repeated values. A longer list is
+searched in shards of that size, one after the other, by the distinct values; all shards use the
+vocabulary of the whole list, and the best of their answers wins, so the result is the same.
 
 Defined results: a blank value gives no row for ``so``; a value without any entry close enough gives
 0; among equally close entries the one in the city the address names, then the smallest id wins;
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 from bibspark.llm.garbled import repair
 from bibspark.llm.trie import Trie, allowed, fold
 from bibspark.operators.packed import split_field
+from bibspark.session import cut
 
 MAX_REFERENCE = 100_000
 CACHE = 200_000
@@ -75,8 +77,8 @@ class Vocabulary:
 
 
 class Journals:
-    def __init__(self, rows: list[tuple[int, str, str]]) -> None:
-        self.vocab = Vocabulary([r[1] for r in rows], [(r[1], r[2]) for r in rows if r[1] and r[2]])
+    def __init__(self, rows: list[tuple[int, str, str]], vocab: Vocabulary | None = None) -> None:
+        self.vocab = vocab or self.vocabulary(rows)
         self.trie, self.raw = Trie(), Trie()
         for ref, title, abbrev in rows:
             for name in (title, abbrev):
@@ -85,10 +87,13 @@ class Journals:
                     self.raw.add(fold(name), ref)
         self.word_trie = Trie()
         for w in sorted(self.vocab.words | set(self.vocab.map)):
-            if len(w) > 3:
-                self.word_trie.add(w, 0)
+            self.word_trie.add(w, 0)
         self._known = lru_cache(CACHE)(lambda w: bool(self.word_trie.closest(w, min(2, allowed(len(w))))[1]))
 
+    @staticmethod
+    def vocabulary(rows: list[tuple[int, str, str]]) -> Vocabulary:
+        return Vocabulary([r[1] for r in rows if r[1]], [(r[1], r[2]) for r in rows if r[1] and r[2]])
+
     def lookup(self, so: str) -> tuple[int, int]:
         """(distance, ref_id), ref_id 0 if no journal is close enough."""
         text = _VOLUME.sub("", repair(so))
@@ -112,8 +117,8 @@ class Institutions:
 
     CITY_EDITS = 2
 
-    def __init__(self, rows: list[tuple[int, str, str, str]], pairs: list[tuple[str, str]] = ()) -> None:
-        self.vocab = Vocabulary([r[1] for r in rows] + [r[3] for r in rows if r[3]], pairs)
+    def __init__(self, rows: list[tuple[int, str, str, str]], pairs: list[tuple[str, str]] = (), vocab: Vocabulary | None = None) -> None:
+        self.vocab = vocab or self.vocabulary(rows, pairs)
         self.acronym = {r[2]: r[0] for r in rows if r[2]}
         short = {v: k for k, v in reversed(self.vocab.map.items())}
         # endings the lists cut off ("thermograp|hics") are cut off other words too
@@ -128,6 +133,7 @@ class Institutions:
             return short.get(w) or next((w[: -len(e)] for e in cut if w.endswith(e) and len(w) - len(e) > 4), w)
 
         self.tries: dict[str, Trie] = {}
+        self.one_word = Trie()
         self.city_trie = Trie()
         self.city_no: list[str] = []
         for ref, name, _, city in rows:
@@ -143,6 +149,9 @@ class Institutions:
                     self.city_no.append(c)
             key, raw = self.vocab.key(name), fold(name)
             words = key.split()
+            if len(words) == 1:
+                self.one_word.add(key, ref)
+                self.one_word.add(raw, ref)
             spellings = {key, raw, " ".join(map(brief, words)), " ".join(map(brief, raw.split()))}
             if len(words) == 2 and words[0] == "university":
                 spellings |= {f"{words[1]} university", f"{words[1]} univ"}
@@ -152,6 +161,10 @@ class Institutions:
         self.unseen = {c for c in self.tries if c and (len(c) < 6 or " " in c)}
         self._near = lru_cache(CACHE)(self._near_cities)
 
+    @staticmethod
+    def vocabulary(rows: list[tuple[int, str, str, str]], pairs: list[tuple[str, str]] = ()) -> Vocabulary:
+        return Vocabulary([r[1] for r in rows if r[1]] + [r[3] for r in rows if r[3]], pairs)
+
     def _near_cities(self, token: str) -> tuple[str, ...]:
         if len(token) < 6:
             return ()
@@ -164,18 +177,29 @@ class Institutions:
         return [p.strip() for p in bare.split(",") if p.strip()]
 
     def lookup(self, address: str) -> tuple[int, int]:
+        """(distance, ref_id), ref_id 0 if no organisation is close enough."""
+        best = self.best(address)
+        return best[0], best[2]
+
+    def best(self, address: str) -> tuple[int, int, int]:
+        """(distance, 0 if it is in the city that the address names, ref_id)."""
         parts = self.parts(address)
         for p in parts:
             if p in self.acronym:
-                return 0, self.acronym[p]
+                return -1, 0, self.acronym[p]
         folded = [fold(p) for p in parts]
         named = {c for p in folded[1:] for c in (re.sub(r"\d+", "", p).strip(),) if c in self.tries}
         best = (99, 2, 0)
         for p, raw in zip(parts, folded):
             words = raw.split()
-            if len(words) < 2 or words[0].isdigit():
+            if not words or words[0].isdigit():
                 continue
             key = self.vocab.key(p)
+            if len(words) == 1:
+                if self.one_word.exact:
+                    for e, d in self.one_word.closest(key, allowed(len(key)))[1].items():
+                        best = min(best, (d, 1, e))
+                continue
             near = {c for w in words for c in self._near(w)} | named
             for c in sorted(near | self.unseen | ({""} if "" in self.tries else set())):
                 for text in (key, raw) if key != raw else (key,):
@@ -186,37 +210,68 @@ class Institutions:
                         continue  # the address names another known city
                     for e, d in hits.items():
                         best = min(best, (d, 0 if c in named else 1, e))
-                    if best[0] == 0:
-                        return 0, best[2]
-        return best[0], best[2]
+                    if best[:2] == (0, 0) or (best[0] == 0 and not named):
+                        return best
+        return best
 
 
-def _shards(df: DataFrame, cols: list[str]) -> list[list[tuple]]:
-    rows = [tuple(r) for r in df.select(*cols).orderBy(cols[0]).toLocalIterator()]
-    return [rows[k : k + MAX_REFERENCE] for k in range(0, len(rows), MAX_REFERENCE)] or [[]]
+def _list(df: DataFrame, cols: list[str]) -> list[tuple]:
+    return [tuple(r) for r in df.select(*cols).orderBy(cols[0]).toLocalIterator()]
 
 
-def _build(kind: str, rows: list[tuple], pairs: list[tuple[str, str]]):
-    """``pairs`` (title, abbreviated title) show how words of either list are abbreviated."""
-    return Journals(rows) if kind == "so" else Institutions(rows, pairs)
+def _searcher(kind: str, rows: list[tuple], vocab: Vocabulary, pairs: list[tuple[str, str]]):
+    """A function from a value to (distance, rank, ref_id)."""
+    if kind == "so":
+        j = Journals(rows, vocab)
+        return lambda v: (lambda x: (x[0], 0, x[1]))(j.lookup(v))
+    i = Institutions(rows, pairs, vocab)
+    return lambda v: i.best(_AUTHORS.sub("", v))
 
 
-def map_values(records: DataFrame, journals: DataFrame, institutions: DataFrame) -> DataFrame:
+def map_values(records: DataFrame, journals: DataFrame, institutions: DataFrame, most: int = MAX_REFERENCE) -> DataFrame:
     """(idx, fld, pos, ref_id) for each address in c1 and each non-blank so."""
-    shards = {"so": _shards(journals, ["ref_id", "journal_title", "iso_abbrev"]), "c1": _shards(institutions, ["ref_id", "org_name", "acronym", "city"])}
-    shared = records.sparkSession.sparkContext.broadcast(shards)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pairs = [(r[1], r[2]) for s in shared.value["so"] for r in s if r[1] and r[2]]
-        tables = {k: [_build(k, s, pairs) for s in v] for k, v in shared.value.items()}
-        look = {k: lru_cache(CACHE)(lambda v, ts=ts: min((t.lookup(v) for t in ts), key=lambda x: (x[1] == 0, x))[1]) for k, ts in tables.items()}
+    spark = records.sparkSession
+    lists = {"so": _list(journals, ["ref_id", "journal_title", "iso_abbrev"]), "c1": _list(institutions, ["ref_id", "org_name", "acronym", "city"])}
+    pairs = [(r[1], r[2]) for r in lists["so"] if r[1] and r[2]]
+    vocabs = {"so": Journals.vocabulary(lists["so"]), "c1": Institutions.vocabulary(lists["c1"], pairs)}
+
+    def values(idx, so, c1) -> Iterator[tuple]:
+        if so and so.strip():
+            yield idx, "so", 1, so.strip()
+        if c1:
+            for k, v in enumerate(split_field(c1, "c1"), 1):
+                yield idx, "c1", k, v
+
+    rows = records.select("idx", "so", "c1")
+    if max(map(len, lists.values())) <= most:
+        shared = spark.sparkContext.broadcast((lists, vocabs, pairs))
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            lists, vocabs, pairs = shared.value
+            look = {k: lru_cache(CACHE)(_searcher(k, lists[k], vocabs[k], pairs)) for k in lists}
+            for b in batches:
+                out = [(i, f, k, look[f](v)[2]) for r in zip(b["idx"], b["so"], b["c1"]) for i, f, k, v in values(*r)]
+                yield pd.DataFrame(out, columns=["idx", "fld", "pos", "ref_id"]).astype({"pos": "int32", "ref_id": "int32"})
+
+        return rows.mapInPandas(run, "idx long, fld string, pos int, ref_id int")
+
+    def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            out = []
-            for i, so, c1 in zip(b["idx"], b["so"], b["c1"]):
-                if so and so.strip():
-                    out.append((i, "so", 1, look["so"](so.strip())))
-                if c1:
-                    out += [(i, "c1", k, look["c1"](_AUTHORS.sub("", v))) for k, v in enumerate(split_field(c1, "c1"), 1)]
-            yield pd.DataFrame(out, columns=["idx", "fld", "pos", "ref_id"]).astype({"pos": "int32", "ref_id": "int32"})
-
-    return records.select("idx", "so", "c1").mapInPandas(run, "idx long, fld string, pos int, ref_id int")
+            yield pd.DataFrame([x for r in zip(b["idx"], b["so"], b["c1"]) for x in values(*r)], columns=["idx", "fld", "pos", "v"]).astype({"pos": "int32"})
+
+    each = cut(rows.mapInPandas(split, "idx long, fld string, pos int, v string"))
+    distinct = cut(each.select("fld", "v").distinct())
+    answers = None
+    for kind, entries in lists.items():
+        for k in range(0, max(1, len(entries)), most):
+            shared = spark.sparkContext.broadcast((kind, entries[k : k + most], vocabs[kind], pairs))
+
+            def search(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+                find = _searcher(*shared.value)
+                for b in batches:
+                    yield pd.DataFrame([(f, v, *find(v)) for f, v in zip(b["fld"], b["v"])], columns=["fld", "v", "d", "rank", "ref_id"])
+
+            found = distinct.where(F.col("fld") == kind).mapInPandas(search, "fld string, v string, d int, rank int, ref_id int").where("ref_id <> 0")
+            answers = found if answers is None else answers.unionByName(found)
+    best = answers.groupBy("fld", "v").agg(F.min(F.struct("d", "rank", "ref_id")).alias("b"))
+    return each.join(best, ["fld", "v"], "left").select("idx", "fld", "pos", F.coalesce("b.ref_id", F.lit(0)).alias("ref_id"))

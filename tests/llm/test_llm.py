@@ -206,6 +206,22 @@ def test_map_values_edges(spark):
     assert allowed(4) == 0 and fold("Łódź & Øst�r") == "lodz and ost~r"
 
 
+def test_one_word_names_and_short_words():
+    i = canonical.Institutions([(5, "Kelinstitut", "KI", "Kel"), (6, "University of Oslo", "UIO", "Oslo")])
+    assert [i.lookup(v)[1] for v in ("Kelinstitut", "Dept X, Kelinstitt, Kel", "Oslo", "University of Oslo, Oslo")] == [5, 5, 0, 6]
+    j = canonical.Journals([(1, "BMJ Open", None), (2, "Gut", None)])
+    assert [j.lookup(v)[1] for v in ("BMJ Opn", "bmj open", "Gut.")] == [1, 1, 2]
+
+
+def test_a_long_list_in_shards_gives_the_same(spark):
+    jr = [(k, f"{a} of {b}", None) for k, (a, b) in enumerate(((a, b) for a in ("Annals", "Journal", "Review") for b in ("Phytometrics", "Photometrics", "Thermology", "Cytogenics")), 1)]
+    ins = [(50 + k, f"{a} {c}", None, c) for k, (a, c) in enumerate((a, c) for a in ("University of", "Botanic Garden") for c in ("Kelledonia", "Ithvahollow", "Selmiquay"))]
+    rec = [(1, "Ann. Phytometrics", "Univ Kelledonia, Kelledonia; Botanic Gardn Selmiquay"), (2, "Jour of Thermolgy", "Ithvahollow University"), (3, "Review of Photometrics, 3(1)", "x"), (3, "", None)]
+    args = [spark.createDataFrame(rec, "idx long, so string, c1 string"), spark.createDataFrame(jr, "ref_id int, journal_title string, iso_abbrev string"), spark.createDataFrame(ins, "ref_id int, org_name string, acronym string, city string")]
+    whole, shards = (sorted(tuple(r) for r in canonical.map_values(*args, most=m).collect()) for m in (100, 2))
+    assert whole == shards and sum(r[3] > 0 for r in whole) == 6
+
+
 # --- 3 names
 
 
