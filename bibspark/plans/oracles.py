@@ -116,6 +116,64 @@ def exact(key: str, kind: str) -> str:
   SELECT idx, min(idx) OVER (PARTITION BY {key}) AS keep FROM bib_records WHERE {filled(key)}) WHERE idx <> keep"""
 
 
+def common(x: str, y: str) -> str:
+    """Length of the longest common subsequence.
+
+    A fold over the characters of ``y``: the k-th entry of the state is the smallest place in ``x`` at which a common
+    subsequence of k characters can end; a character moves it to its next place behind the entry before.
+    """
+    before = "(CASE WHEN k = 1 THEN 0 ELSE s[k - 1] END)"
+    after = f"nullif(instr(substr({x}, {before} + 1), chr(c[1]::INT)), 0) + {before}"
+    step = f"list_filter(list_transform(range(1, len(s) + 2), lambda k: least(coalesce(s[k], 1000000000), coalesce({after}, 1000000000))), lambda p: p < 1000000000)"
+    return f"len(list_reduce(list_transform(string_split({y}, ''), lambda q: [unicode(q)::BIGINT]), lambda s, c: {step}, []::BIGINT[]))"
+
+
+def alike(x: str, y: str) -> str:
+    return f"(CASE WHEN {x} = {y} THEN 100.0::DOUBLE WHEN {x} = '' OR {y} = '' THEN 0.0::DOUBLE ELSE 200.0::DOUBLE * {common(x, y)} / (length({x}) + length({y})) END)"
+
+
+_ALPHABET = "abcdefghijklmnopqrstuvwxyz0123456789 "
+
+
+def similar(kind: str, src: str, p: str) -> str:
+    """CTEs of a similarity phase over ``src``: {p}pairs (block, i, j, score) and {p}found (idx, keep, score)."""
+    t = title("coalesce(ti, 'nan')")
+    if kind == "title":
+        texts = ["t"]
+        nodes = f"SELECT substr(t, 1, 4) AS block, idx, t FROM (SELECT idx, {t} AS t FROM {src}) WHERE length(t) > 5"
+        first = f"200 * least(length(a.t), length(b.t)) >= 90 * (length(a.t) + length(b.t)) AND 200 * list_sum(list_transform(range(1, {len(_ALPHABET) + 1}), lambda k: least(a.bag[k], b.bag[k]))) >= 90 * (length(a.t) + length(b.t))"
+        score = f"SELECT block, i, j, {alike('ta', 'tb')} AS score FROM {p}cand"
+        bag = f", list_transform(string_split('{_ALPHABET}', ''), lambda c: length(t) - length(replace(t, c, ''))) AS bag"
+    else:
+        texts = ["au", "t"]
+        au = f"lower({strip('au')})"
+        head = f"substr({strip(f'split_part({au}, chr(59), 1)')}, 1, 20)"
+        nodes = f"SELECT concat(py, '|', {head}) AS block, idx, {au} AS au, {t} AS t FROM {src} WHERE py IS NOT NULL AND {au} IS NOT NULL AND {au} NOT IN ('', 'nan') AND {head} <> ''"
+        first = "200 * least(length(a.au), length(b.au)) >= 85 * (length(a.au) + length(b.au))"
+        score = f"SELECT block, i, j, (sa + {alike('ta', 'tb')}) / 2 AS score FROM (SELECT *, {alike('aua', 'aub')} AS sa FROM {p}cand) WHERE sa >= 85"
+        bag = ""
+    both = ", ".join(f"a.{x} AS {x}a, b.{x} AS {x}b" for x in texts)
+    keys = ", ".join(["block", *texts])
+    return f"""{p}nodes AS MATERIALIZED ({nodes}),
+{p}first AS MATERIALIZED (SELECT *{bag} FROM (SELECT {keys}, min(idx) AS idx FROM {p}nodes GROUP BY ALL)),
+{p}cand AS MATERIALIZED (SELECT a.block, a.idx AS i, b.idx AS j, {both} FROM {p}first a JOIN {p}first b ON a.block = b.block AND a.idx < b.idx WHERE {first}),
+{p}pairs AS MATERIALIZED (SELECT * FROM ({score}) WHERE score >= 90),
+{p}later AS (SELECT block, j, list(i ORDER BY i) AS earlier FROM {p}pairs GROUP BY block, j),
+{p}dups AS (SELECT block, list_reduce(list([j] || earlier ORDER BY j), lambda d, r: CASE WHEN len(list_filter(r[2:], lambda x: NOT list_contains(d, x))) > 0 THEN list_append(d, r[1]) ELSE d END, []::BIGINT[]) AS d FROM {p}later GROUP BY block),
+{p}keep AS (SELECT l.j AS rep, list_min(list_filter(l.earlier, lambda x: NOT list_contains(d.d, x))) AS keep FROM {p}later l JOIN {p}dups d USING (block) WHERE list_contains(d.d, l.j)),
+{p}found AS MATERIALIZED (SELECT n.idx, coalesce(k.keep, f.idx) AS keep, coalesce(q.score, 100.0) AS score
+  FROM {p}nodes n JOIN {p}first f USING ({keys}) LEFT JOIN {p}keep k ON k.rep = f.idx LEFT JOIN {p}pairs q ON q.i = k.keep AND q.j = k.rep WHERE n.idx <> coalesce(k.keep, f.idx))"""
+
+
+def phases() -> str:
+    """CTEs of all four phases; ``every`` has what they find."""
+    return f"""d1 AS ({exact('di', 'doi_exact')}), d2 AS (SELECT * FROM ({exact('ut', 'ut_exact')}) WHERE idx NOT IN (SELECT idx FROM d1)),
+r3 AS MATERIALIZED (SELECT * FROM bib_records WHERE idx NOT IN (SELECT idx FROM d1) AND idx NOT IN (SELECT idx FROM d2)), {similar('title', 'r3', 't_')},
+r4 AS MATERIALIZED (SELECT * FROM r3 WHERE idx NOT IN (SELECT idx FROM t_found)), {similar('author', 'r4', 'a_')},
+every AS (SELECT idx, keep, match_type, similarity_score FROM d1 UNION ALL SELECT idx, keep, match_type, similarity_score FROM d2
+  UNION ALL SELECT idx, keep, 'title_similarity', score FROM t_found UNION ALL SELECT idx, keep, 'author_year_title', score FROM a_found)"""
+
+
 def empty(x: str) -> str:
     return f"count(*) FILTER ({x} IS NULL OR cast({x} AS varchar) = '')"
 
@@ -232,6 +290,11 @@ SELECT cov AS field_coverage_score, round(cov * 0.3 + populated * 25 + passed /
         "group_places": f"SELECT idx, row_number() OVER (PARTITION BY di ORDER BY idx)::INT AS place FROM bib_records WHERE {filled('di')}",
         "title_block_stats": f"SELECT substr(t, 1, 4) AS block, count(*) AS titles FROM (SELECT {title('''coalesce(ti, 'nan')''')} AS t FROM bib_records) WHERE length(t) > 5 GROUP BY block",
         "title_classes": f"SELECT idx, min(idx) OVER (PARTITION BY t) AS representative FROM (SELECT idx, {title('''coalesce(ti, 'nan')''')} AS t FROM bib_records) WHERE length(t) > 5",
+        "title_similarity_pairs": f"WITH {similar('title', 'bib_records', 't_')} SELECT i, j, round(score, 6) AS score FROM t_pairs",
+        "dedup_title_similarity": f"WITH {similar('title', 'bib_records', 't_')} SELECT idx, keep, round(score, 6) AS score FROM t_found",
+        "dedup_author_year": f"WITH {similar('author', 'bib_records', 'a_')} SELECT idx, keep, round(score, 6) AS score FROM a_found",
+        "dedup_mappings": f"WITH {phases()} SELECT b.record_id, k.record_id AS duplicate_of, match_type, round(similarity_score, 6) AS similarity_score, b.source_file FROM every JOIN bib_records b USING (idx) JOIN bib_records k ON k.idx = every.keep",
+        "dedup_summary": f"WITH {phases()} SELECT match_type, count(*) AS n FROM every GROUP BY match_type",
         "mapping_summary": "SELECT lower(match_type) AS match_type, count(*) AS n FROM duplicate_mappings WHERE match_type IS NOT NULL GROUP BY 1",
         "validation_issues": issues(),
         "issues_by_severity": f"SELECT severity, count(*) AS issues FROM ({issues()}) GROUP BY severity",
