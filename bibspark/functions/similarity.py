@@ -8,6 +8,8 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from bibspark.functions.text import _EDGE
+
 
 def masks(a: str) -> dict[str, int]:
     """Places of each character, a bit for each."""
@@ -108,4 +110,5 @@ def register(spark: SparkSession) -> None:
 
     spark.udf.register("indel_ratio", run)
     spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION normalize_title(s STRING) RETURNS STRING RETURN trim(regexp_replace(regexp_replace(lower(coalesce(s, '')), '[^a-z0-9 ]', ' '), ' +', ' '))")
-    spark.sql(r"CREATE OR REPLACE TEMPORARY FUNCTION clean_doi(s STRING) RETURNS STRING RETURN CASE WHEN trim(s) = '' THEN s ELSE regexp_replace(trim(s), 'https?://(dx\\.)?doi\\.org/', '') END")
+    bare = "regexp_replace(s, '{}', '')".format(_EDGE.replace("\\", "\\\\"))
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION clean_doi(s STRING) RETURNS STRING RETURN CASE WHEN {bare} = '' THEN s ELSE regexp_replace({bare}, 'https?://(dx\\\\.)?doi\\\\.org/', '') END")

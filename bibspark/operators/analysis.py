@@ -37,10 +37,9 @@ def most_cited(df: DataFrame, k: int = 10) -> DataFrame:
 def occurring_together(df: DataFrame, values: Column) -> DataFrame:
     """(a, b, n) with a < b: how many documents hold both values.
 
-    Pairs are made inside one row's own list (an array function, no self-join), so no value's group is
-    ever gathered; the count combines before the shuffle.
+    Each value of a row's list is paired with the values behind it, by two explosions that stream one pair at
+    a time: no self-join, and no value's group is ever gathered; the count combines before the shuffle.
     """
     v = df.select(F.array_sort(F.array_distinct(values)).alias("v")).where(F.size("v") > 1)
-    k = F.sequence(F.lit(1), F.size("v") - 1)
-    pairs = F.flatten(F.transform(k, lambda i: F.transform(F.slice("v", i + 1, F.size("v")), lambda y: F.struct(F.element_at("v", i).alias("a"), y.alias("b")))))
-    return v.select(F.explode(pairs).alias("p")).groupBy("p.a", "p.b").agg(F.count(F.lit(1)).alias("n"))
+    first = v.select(F.posexplode("v").alias("i", "a"), "v")
+    return first.select("a", F.explode(F.slice("v", F.col("i") + 2, F.size("v"))).alias("b")).groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))

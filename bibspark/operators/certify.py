@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import hashlib
-import os
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bibspark.functions.text import filled, number, percent
+from bibspark.functions.text import filled, number, percent, strip
 from bibspark.schema import LAYER1_MANDATORY, LAYER1_RECOMMENDED, YEARS
+from bibspark.sources import files
 
 
 def layer1(df: DataFrame) -> DataFrame:
@@ -57,34 +55,48 @@ def required_fields(df: DataFrame, fields: tuple[str, ...] = ("AU", "TI", "SO",
     return [f for f in fields if f not in df.columns]
 
 
-def file_hash(path: str) -> str:
-    """First 16 digits of the SHA-256 of a file's bytes."""
-    h = hashlib.sha256()
-    with open(path, "rb") as f:
-        while block := f.read(1 << 20):
-            h.update(block)
-    return h.hexdigest()[:16]
+def fingerprint(df: DataFrame, fields: list[str]) -> DataFrame:
+    """One row: the records, and for each field a sum of hashes that doesn't depend on their order."""
+    text = lambda c: strip(F.regexp_replace(F.coalesce(F.col(c).cast("string"), F.lit("")), "[\\r\\n]+", " "))
+    return df.agg(F.count(F.lit(1)).alias("records"), *[F.coalesce(F.sum(F.xxhash64(text(c)).cast("decimal(38,0)")), F.lit(0)).alias(c) for c in fields])
+
+
+def reread(written: DataFrame, back: DataFrame, fields: list[str]) -> dict:
+    """Whether a dataset that was written and read again holds as many records and the same values of each field."""
+    a, b = fingerprint(written, fields).first(), fingerprint(back, fields).first()
+    return {"records": a["records"], "reread": b["records"], "changed": [f for f in fields if a[f] != b[f]]}
+
+
+def file_hash(spark: SparkSession, path: str) -> str:
+    """First 16 digits of the SHA-256 of a file's bytes, read where they lie."""
+    one = spark.read.format("binaryFile").load(path).select(F.sha2("content", 256).alias("h"))
+    return one.first()["h"][:16]
+
+
+def certification_id(spark: SparkSession, path: str) -> str:
+    return f"cert_{file_hash(spark, path)}"
 
 
-def certification_id(path: str) -> str:
-    return f"cert_{file_hash(path)}"
+#: What a finished run leaves besides the dataset.
+REPORTS = ("Audit_Log.json", "R_Validation.json", "Execution_Summary.md", "PRISMA_Flow.txt")
 
 
-def certification_checks(audit: dict, folder: str, dataset: str) -> dict[str, bool]:
-    """Five checks of a finished run, from its audit document and its files."""
+def certification_checks(spark: SparkSession, audit: dict, folder: str, dataset: str) -> dict[str, bool]:
+    """Checks of a finished run, from its audit document and its files."""
     stages, cert = audit.get("stages") or {}, audit.get("r_certification") or {}
-    path = os.path.join(folder, dataset)
+    path = f"{folder.rstrip('/')}/{dataset}"
     return {
         "stages_passed": bool(stages) and all(x.get("status") == "PASS" for x in stages.values()),
         "certified": bool(cert.get("certified")) or bool(cert) and all(isinstance(x, dict) and x.get("success") for x in cert.values()),
         "no_errors": not audit.get("errors"),
-        "dataset_exists": os.path.exists(path),
-        "dataset_filled": os.path.isfile(path) and os.path.getsize(path) > 0 or os.path.isdir(path) and any(os.path.getsize(os.path.join(path, n)) for n in os.listdir(path)),
+        "dataset_exists": files.exists(spark, path),
+        "dataset_filled": files.size(spark, path) > 0,
+        "reports": all(files.size(spark, f"{folder.rstrip('/')}/{n}") > 0 for n in REPORTS),
     }
 
 
-def certification(layer1_pass: bool, reread_count: int, count: int) -> dict:
-    """Certified if the structure holds and the written text reads back to as many records."""
-    layer2 = count > 0 and reread_count == count
+def certification(layer1_pass: bool, written: dict) -> dict:
+    """Certified if the structure holds and the written text reads back as what it was (see ``reread``)."""
+    layer2 = written["records"] > 0 and written["reread"] == written["records"] and not written["changed"]
     ok = layer1_pass and layer2
-    return {"layer1": layer1_pass, "layer2": layer2, "certified": ok, "success": ok or layer1_pass or layer2, "status": "READY_FOR_BIBLIOSHINY" if ok else "NOT_CERTIFIED"}
+    return {"layer1": layer1_pass, "layer2": layer2, "certified": ok, "success": ok or layer1_pass or layer2, "status": "READY_FOR_BIBLIOSHINY" if ok else "NOT_CERTIFIED", "written": written}

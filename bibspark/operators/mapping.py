@@ -101,11 +101,11 @@ def unmapped_columns(columns: list[str], database: str) -> list[tuple[str, str,
         if c in INTERNAL or c.startswith("__") or c in mapped:
             continue
         if c.upper() in OPTIONAL_COLUMNS:
-            out.append((c, "OPTIONAL", f"Column '{c}' is optional and not mapped"))
+            out.append((c, "OPTIONAL", f"Column '{c}' has no tag and may be left out"))
         elif c.upper() in MANDATORY:
-            out.append((c, "UNUSED", f"Column '{c}' was not mapped"))
+            out.append((c, "UNUSED", f"Column '{c}' has the name of a tag but isn't used"))
         else:
-            out.append((c, "POTENTIAL_CANDIDATE", f"Column '{c}' could be mapped to a Bibliometrix field"))
+            out.append((c, "POTENTIAL_CANDIDATE", f"Column '{c}' may hold a tag's values"))
     return out
 
 
@@ -120,17 +120,20 @@ def any_filled(df: DataFrame, columns: list[str]) -> Column:
 def _measures(df: DataFrame, groups: dict[str, list[str]], years: list[str]) -> DataFrame:
     """One row: record count, rows filled by group, distinct journals, first and last year."""
     ys = [number(F.col(f"`{c}`")) for c in years if c in df.columns]
-    aggs = [F.count(F.lit(1)).alias("Record Count")]
+    aggs, many = [F.count(F.lit(1)).alias("Record Count")], None
     for name, cols in groups.items():
         if name == "Journal Count":
             vals = [F.when(filled(f"`{c}`"), strip(f"`{c}`")) for c in cols if c in df.columns]
-            aggs.append((F.count_distinct(vals[0]) if len(vals) == 1 else F.size(F.array_distinct(F.flatten(F.collect_set(F.array_compact(F.array(*vals))))))).cast("long").alias(name) if vals else F.lit(0).cast("long").alias(name))
+            if len(vals) > 1:
+                many = df.select(F.explode(F.array_compact(F.array(*vals))).alias("v")).agg(F.count_distinct("v").alias(name))
+            aggs.append(F.count_distinct(vals[0]).alias(name) if len(vals) == 1 else F.lit(0).cast("long").alias(name))
         else:
             aggs.append(F.count_if(any_filled(df, cols)).alias(name))
     lo = F.min(F.least(*ys)) if len(ys) > 1 else F.min(ys[0]) if ys else F.lit(None).cast("double")
     hi = F.max(F.greatest(*ys)) if len(ys) > 1 else F.max(ys[0]) if ys else F.lit(None).cast("double")
     years_text = F.concat(lo.cast("int").cast("string"), F.lit("-"), hi.cast("int").cast("string"))
-    return df.agg(*aggs, years_text.alias("Publication Year Range"))
+    one = df.agg(*aggs, years_text.alias("Publication Year Range"))
+    return one if many is None else one.drop(*many.columns).crossJoin(many).select(*one.columns)  # one row each
 
 
 BEFORE = {

@@ -6,6 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def duplicates(mappings: DataFrame, records: DataFrame) -> DataFrame:
+    """One mapping for each record that is a duplicate of another: the most similar, then the first by id and type."""
+    real = mappings.where("record_id IS NOT NULL AND duplicate_of IS NOT NULL AND trim(duplicate_of) <> '' AND duplicate_of <> record_id").join(records.select("record_id"), "record_id", "left_semi")
+    rank = F.struct(-F.coalesce("similarity_score", F.lit(0.0)), "duplicate_of", F.coalesce("match_type", F.lit("")), F.coalesce("source_file", F.lit("")))
+    best = real.groupBy("record_id").agg(F.min_by(F.struct("duplicate_of", "match_type", "similarity_score", "source_file"), rank).alias("m"))
+    return best.select("record_id", "m.*")
+
+
 def screening_log(kept: DataFrame, mappings: DataFrame) -> DataFrame:
     inc = kept.select("record_id", F.substring(F.coalesce("TI", F.lit("")), 1, 100).alias("title"), "source_file", F.lit("included").alias("decision"), F.lit("Passed all validation criteria").alias("reason"))
     reason = F.format_string("Duplicate of %s (%s, score=%.1f)", F.coalesce("duplicate_of", F.lit("None")), F.coalesce("match_type", F.lit("None")), F.coalesce("similarity_score", F.lit(0.0)))
@@ -21,17 +29,28 @@ def mapping_summary(mappings: DataFrame) -> DataFrame:
     return mappings.groupBy(F.lower("match_type").alias("match_type")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def flow_counts(imported: DataFrame, kept: DataFrame, cleaned: DataFrame, excluded: DataFrame) -> DataFrame:
-    """One row of counts of the stages."""
+def flow_counts(imported: DataFrame, merged: DataFrame, kept: DataFrame, cleaned: DataFrame, included: DataFrame, excluded: DataFrame) -> DataFrame:
+    """One row of counts of the stages; ``imported`` has the records of each file."""
     one = lambda d, n: d.agg(F.count(F.lit(1)).alias(n))
-    a = one(imported, "imported").crossJoin(one(kept, "after_dedup")).crossJoin(one(cleaned, "after_cleaning")).crossJoin(one(excluded, "excluded"))  # one row each
-    return a.select("imported", F.col("imported").alias("merged"), (F.col("imported") - F.col("after_dedup")).alias("duplicates"), "after_dedup", "after_cleaning", F.col("after_cleaning").alias("included"), "excluded")
+    a = imported.agg(F.coalesce(F.sum("records"), F.lit(0)).alias("imported")).crossJoin(one(merged, "merged")).crossJoin(one(kept, "after_dedup")).crossJoin(one(cleaned, "after_cleaning")).crossJoin(one(included, "included")).crossJoin(one(excluded, "excluded"))  # one row each
+    return a.select("imported", "merged", (F.col("merged") - F.col("after_dedup")).alias("duplicates"), "after_dedup", "after_cleaning", "included", "excluded")
 
 
-def sync_check(validated: DataFrame, included: DataFrame) -> DataFrame:
-    one = lambda d, n: d.agg(F.count(F.lit(1)).alias(n))
-    j = one(validated, "validated").crossJoin(one(included, "included"))  # one row each
-    return j.withColumn("synchronized", F.col("validated") == F.col("included"))
+def flow_by_file(records: DataFrame, kept: DataFrame, cleaned: DataFrame) -> DataFrame:
+    """(source_file, imported, after_dedup, after_cleaning)."""
+    count = lambda d, n: d.groupBy("source_file").agg(F.count(F.lit(1)).alias(n))
+    j = count(records, "imported").join(count(kept, "after_dedup"), "source_file", "left").join(count(cleaned, "after_cleaning"), "source_file", "left")
+    return j.select("source_file", "imported", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("after_dedup", "after_cleaning")])
+
+
+def sync_check(validated: DataFrame, included: DataFrame, key: str = "record_id") -> DataFrame:
+    """One row: the records of either set, those that the other one lacks, and whether both are the same."""
+    side = lambda d, n: d.groupBy(key).agg(F.count(F.lit(1)).alias(n))
+    j = side(validated, "a").join(side(included, "b"), key, "full")
+    a, b = F.coalesce("a", F.lit(0)), F.coalesce("b", F.lit(0))
+    total = lambda c, n: F.coalesce(F.sum(c), F.lit(0)).alias(n)
+    out = j.agg(total(a, "validated"), total(b, "included"), total(F.greatest(a - b, F.lit(0)), "only_validated"), total(F.greatest(b - a, F.lit(0)), "only_included"))
+    return out.withColumn("synchronized", (F.col("only_validated") == 0) & (F.col("only_included") == 0))
 
 
 def quality(counts: DataFrame, issues: DataFrame, synced: DataFrame) -> DataFrame:

@@ -256,9 +256,18 @@ def oracle_sql() -> dict[str, str]:
     K = f"WITH {KEPT}, {cleaned('kept')} "
     top = "SELECT {n}, count(*) AS n FROM ({q}) WHERE {n} IS NOT NULL AND {n} <> '' GROUP BY {n} ORDER BY n DESC, {n} LIMIT 10"
     un = lambda e, n: f"SELECT unnest({e}) AS {n} FROM bib_records"
-    counts = "SELECT (SELECT count(*) FROM bib_records) AS imported, (SELECT count(*) FROM bib_records) AS merged, (SELECT count(*) FROM bib_records) - (SELECT count(*) FROM kept) AS duplicates, (SELECT count(*) FROM kept) AS after_dedup, (SELECT count(*) FROM cleaned) AS after_cleaning, (SELECT count(*) FROM cleaned) AS included, (SELECT count(*) FROM duplicate_mappings) AS excluded"
-    quality = f"""{K}, i AS ({issues('kept')}), c AS ({counts})
-SELECT CASE WHEN after_cleaning > 0 THEN 100 ELSE 55 END AS overall_score, CASE WHEN (SELECT count(*) FROM i) < after_dedup * 0.5 THEN 'PASS' ELSE 'WARNING' END AS metadata_status, CASE WHEN after_cleaning > 0 THEN 'A' ELSE 'D' END AS grade FROM c"""
+    dups = """dups AS (SELECT record_id, duplicate_of, match_type, similarity_score, source_file FROM (
+  SELECT *, row_number() OVER (PARTITION BY record_id ORDER BY coalesce(similarity_score, 0) DESC, duplicate_of, coalesce(match_type, ''), coalesce(source_file, '')) AS n
+  FROM duplicate_mappings WHERE trim(coalesce(duplicate_of, '')) <> '' AND duplicate_of <> record_id AND record_id IN (SELECT record_id FROM bib_records)) WHERE n = 1)"""
+    K = f"{K.rstrip()}, {dups} "
+    counts = """SELECT (SELECT sum(n)::BIGINT FROM (SELECT count(*) AS n FROM bib_records GROUP BY source_file)) AS imported, (SELECT count(*) FROM bib_records) AS merged, (SELECT count(*) FROM bib_records) - (SELECT count(*) FROM kept) AS duplicates,
+ (SELECT count(*) FROM kept) AS after_dedup, (SELECT count(*) FROM cleaned) AS after_cleaning, (SELECT count(*) FROM kept) AS included, (SELECT count(*) FROM dups) AS excluded"""
+    sync = """SELECT *, only_validated = 0 AND only_included = 0 AS synchronized FROM (SELECT (SELECT count(*) FROM cleaned) AS validated, (SELECT count(*) FROM kept) AS included,
+ (SELECT count(*) FROM cleaned WHERE record_id NOT IN (SELECT record_id FROM kept)) AS only_validated, (SELECT count(*) FROM kept WHERE record_id NOT IN (SELECT record_id FROM cleaned)) AS only_included)"""
+    quality = f"""{K}, i AS ({issues('kept')}), c AS ({counts}), s AS ({sync}), q AS (
+SELECT greatest(100 - CASE WHEN imported = 0 THEN 25 ELSE 0 END - CASE WHEN merged = 0 THEN 25 ELSE 0 END - CASE WHEN after_cleaning = 0 THEN 20 ELSE 0 END - CASE WHEN validated = 0 THEN 25 ELSE 0 END
+ - CASE WHEN synchronized THEN 0 ELSE 20 END - CASE WHEN validated <> s.included THEN 15 ELSE 0 END, 0) AS overall_score, CASE WHEN (SELECT count(*) FROM i) < after_dedup * 0.5 THEN 'PASS' ELSE 'WARNING' END AS metadata_status FROM c, s)
+SELECT overall_score, metadata_status, CASE WHEN overall_score >= 90 THEN 'A' WHEN overall_score >= 75 THEN 'B' WHEN overall_score >= 60 THEN 'C' WHEN overall_score >= 40 THEN 'D' ELSE 'F' END AS grade FROM q"""
     dim_tags = {"TI": "title", "AU": "authors", "SO": "source_title", "PY": "pubyear", "TC": "times_cited", "UT": "publication_id"}
     dim_map = [("Title", "TI"), ("Authors", "AU"), ("Source title", "SO")]
     dim_one = "SELECT '{s}' AS source_field, '{t}' AS target_field, count(*) - {e} AS mapped_records, {e} AS missing_records, floor((2000 * ({e}) + count(*)) // (2 * count(*))) / 10.0::DOUBLE AS null_percentage, CASE WHEN ({e})::DOUBLE / count(*) * 100 < 10 THEN 'PASS' ELSE 'WARNING' END AS status FROM dimensions_rows"
@@ -324,10 +333,16 @@ SELECT cov AS field_coverage_score, round(cov * 0.3 + populated * 25 + passed /
         "author_format_sample": "WITH s AS (SELECT au FROM (SELECT au FROM bib_records ORDER BY idx LIMIT 50) WHERE au IS NOT NULL) SELECT count(*) AS sampled, count(*) FILTER (contains(au, ',')) AS with_comma, CASE WHEN count(*) FILTER (contains(au, ',')) > 0.5 * count(*) THEN 'PASS' ELSE 'WARNING' END AS status FROM s",
         "year_range": "SELECT min(py) AS first_year, max(py) AS last_year, count(py) AS valid_years, CASE WHEN min(py) >= 1900 AND max(py) <= 2030 THEN 'PASS' ELSE 'WARNING' END AS status FROM bib_records",
         "doi_coverage": " UNION ALL ".join(f"SELECT '{t.upper()}' AS field, count(*) FILTER ({filled(t)}) AS present, floor((2000 * count(*) FILTER ({filled(t)}) + count(*)) // (2 * count(*))) / 10.0::DOUBLE AS percentage FROM bib_records" for t in ("di", "ab")),
-        "screening_log": f"WITH {KEPT} SELECT record_id, substr(coalesce(ti, ''), 1, 100) AS title, source_file, 'included' AS decision, 'Passed all validation criteria' AS reason FROM kept UNION ALL SELECT record_id, 'Duplicate - excluded', source_file, 'excluded', concat('Duplicate of ', coalesce(duplicate_of, 'None'), ' (', coalesce(match_type, 'None'), ', score=', printf('%.1f', coalesce(similarity_score, 0.0)), ')') FROM duplicate_mappings",
-        "excluded_studies": "SELECT record_id, concat('Duplicate (', coalesce(match_type, 'None'), ')') AS excluded_reason, duplicate_of, similarity_score, source_file FROM duplicate_mappings",
+        "screening_log": f"{K} SELECT record_id, substr(coalesce(ti, ''), 1, 100) AS title, source_file, 'included' AS decision, 'Passed all validation criteria' AS reason FROM kept UNION ALL SELECT record_id, 'Duplicate - excluded', source_file, 'excluded', concat('Duplicate of ', duplicate_of, ' (', coalesce(match_type, 'None'), ', score=', printf('%.1f', coalesce(similarity_score, 0.0)), ')') FROM dups",
+        "excluded_studies": f"{K} SELECT record_id, concat('Duplicate (', coalesce(match_type, 'None'), ')') AS excluded_reason, duplicate_of, similarity_score, source_file FROM dups",
         "prisma_counts": f"{K} {counts}",
-        "sync_check": f"{K} SELECT count(*) AS validated, count(*) AS included, true AS synchronized FROM cleaned",
+        "flow_by_file": f"{K} SELECT source_file, count(*) AS imported, count(k.idx) AS after_dedup, count(c.idx) AS after_cleaning FROM bib_records b LEFT JOIN (SELECT idx FROM kept) k USING (idx) LEFT JOIN (SELECT idx FROM cleaned) c USING (idx) GROUP BY source_file",
+        "sync_check": f"{K} {sync}",
+        "database_group_records": f"SELECT printf('Group_%03d_%s', dense_rank() OVER (ORDER BY source_database), replace(source_database, ' ', '_')) AS group_id, source_database, count(*) AS files, string_agg(source_file, ', ' ORDER BY source_file) AS file_names, coalesce(sum(n), 0)::BIGINT AS total_records FROM source_files LEFT JOIN (SELECT source_file, count(*) AS n FROM bib_records GROUP BY source_file) USING (source_file) GROUP BY source_database",
+        "detect_database": """SELECT table_name, CASE WHEN count(*) FILTER (column_name IN ('publication_id')) > 0 THEN 'Dimensions' WHEN count(*) FILTER (column_name IN ('au', 'ti', 'so', 'py', 'dt', 'de', 'cr', 'ut')) >= 3 THEN 'Web of Science' ELSE 'Unknown' END AS detected,
+ (CASE table_name WHEN 'bib_records' THEN count(*) - 4 ELSE count(*) END)::INT AS columns FROM information_schema.columns WHERE table_name IN ('bib_records', 'dimensions_rows', 'documents') GROUP BY table_name""",
+        "stream_arrivals": "SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n FROM events GROUP BY ALL",
+        "stream_accepted": f"SELECT idx FROM (SELECT *, CASE WHEN {filled('ut')} THEN row_number() OVER (PARTITION BY ut ORDER BY idx) ELSE 1 END AS m FROM (SELECT *, CASE WHEN {filled('di')} THEN row_number() OVER (PARTITION BY di ORDER BY idx) ELSE 1 END AS n FROM bib_records) WHERE n = 1) WHERE m = 1",
         "quality_score": quality,
         "wos_text_lines": lines(),
         "wos_record_roundtrip": "SELECT count(*) AS records, count(*) AS titles, count(*) AS abstracts, count(*) AS keywords FROM bib_records",

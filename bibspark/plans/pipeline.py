@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-import os
 import time
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bibspark.operators import analysis, certify, clean, compat, dedup, mapping, screening, validate
-from bibspark.session import cut
-from bibspark.sources import readers, sinks
+from bibspark.session import cut, ensure_checkpoint_dir
+from bibspark.sources import files, readers, sinks
 
 
 @dataclass
@@ -32,16 +32,18 @@ class State:
     counts: dict = field(default_factory=dict)
     quality: dict = field(default_factory=dict)
     errors: list[str] = field(default_factory=list)
+    warnings: list[str] = field(default_factory=list)
     log: list[dict] = field(default_factory=list)
 
 
 class Pipeline:
     """``run`` stops if import or merging fails; other stages record their error and let the rest go on."""
 
-    def __init__(self, spark: SparkSession, title_threshold: float = dedup.TITLE_THRESHOLD, author_threshold: float = dedup.AUTHOR_THRESHOLD, validate_mapping: bool = False) -> None:
+    def __init__(self, spark: SparkSession, title_threshold: float = dedup.TITLE_THRESHOLD, author_threshold: float = dedup.AUTHOR_THRESHOLD, validate_mapping: bool = False, file_count: int = 0, one_database: bool = False) -> None:
         self.spark = spark
         self.thresholds = title_threshold, author_threshold
         self.validate_mapping = validate_mapping
+        self.file_count, self.one_database = file_count, one_database
 
     def _stages(self):
         yield "deduplicate", self._dedup
@@ -76,8 +78,11 @@ class Pipeline:
                 raise
 
     def _import(self, s: State, source: str | DataFrame) -> None:
-        s.imported = cut(readers.import_folder(self.spark, source)) if isinstance(source, str) else source
-        s.counts["imported"] = s.imported.count()
+        if isinstance(source, str):
+            source = cut(readers.import_folder(self.spark, source, s.warnings.append, s.errors.append, self.file_count, self.one_database))
+        s.imported = source
+        s.counts["per_file"] = {r.source_file: r.records for r in readers.import_counts(source).collect()}  # the files of a run
+        s.counts["imported"], s.counts["merged"] = sum(s.counts["per_file"].values()), source.count()
 
     def _dedup(self, s: State) -> None:
         kept, m = dedup.dedup(s.imported, *self.thresholds)
@@ -97,49 +102,77 @@ class Pipeline:
         db = mapping.detect_database(s.imported.columns)
         f, k = mapping.field_results(s.cleaned, db), mapping.preservation(s.imported, s.cleaned)
         s.counts["mapping"] = mapping.scores(f, k).first().asDict()
-        s.mapping = {"Field_Mapping": f, "Metadata": k, "Summary": mapping.scores(f, k)}
+        if db == "Unknown":
+            s.warnings.append("mapping: the database of the columns is unknown")
+        left = self.spark.createDataFrame(mapping.unmapped_columns(s.imported.columns, db), "column_name string, classification string, suggestion string")
+        s.mapping = {"Summary": mapping.scores(f, k), "Field_Mapping": f, "Unmapped_Columns": left, "Metadata": k}
 
     def _compat(self, s: State) -> None:
         s.compatible = compat.compatible(s.cleaned, keep_internal=True)
         s.counts["repairs"] = compat.repairs(s.cleaned)
 
     def _certify(self, s: State) -> None:
-        ok = certify.layer1(s.compatible).where("check = 'overall'").first()["status"] == "PASS"
-        text = sinks.tagged_lines(s.compatible).select("idx", F.array_join("lines", "\n").alias("value"))
-        s.certification = certify.certification(ok, readers.parse_tagged(text).count(), s.compatible.count())
+        lacks = certify.required_fields(s.compatible)
+        ok = not lacks and certify.layer1(s.compatible).where("check = 'overall'").first()["status"] == "PASS"
+        # what is checked is a file that was really written and read again
+        ensure_checkpoint_dir(self.spark)
+        path = f"{self.spark.sparkContext.getCheckpointDir()}/certify-{uuid.uuid4().hex}"
+        sinks.write_tagged(s.compatible, path, "export")
+        written = certify.reread(s.compatible, readers.read_tagged(self.spark, path), [c for c in ("TI", "AU", "SO", "PY", "DI", "UT") if c in s.compatible.columns])
+        written["lines"] = sinks.record_count(self.spark.read.text(path)).first()["records"]
+        s.certification = certify.certification(ok, written)
+        s.certification["missing"] = lacks
         s.certification["analysis"] = analysis.biblio_analysis(s.compatible).first().asDict()
 
     def _screening(self, s: State) -> None:
-        s.included, s.excluded = s.compatible, screening.excluded_studies(s.mappings)
-        s.screening = screening.screening_log(s.kept, s.mappings)
+        s.excluded = screening.excluded_studies(s.mappings)
+        s.screening = cut(screening.screening_log(s.kept, s.mappings))
+        s.included = s.kept
 
     def _sync(self, s: State) -> None:
-        sync = screening.sync_check(s.compatible, s.included).first()
+        """The included studies must be the validated records; if they aren't, they are taken from these."""
+        sync = screening.sync_check(s.compatible, s.screening.where("decision = 'included'")).first()
         if not sync["synchronized"]:
-            s.errors.append("sync: included studies were replaced by the validated ones")
-            s.included = s.compatible
-        s.counts["synchronized"] = True
+            s.warnings.append(f"sync: {sync['only_included']} included studies aren't validated and {sync['only_validated']} validated records aren't included; the validated ones were taken")
+            s.screening = cut(screening.screening_log(s.compatible, s.mappings))
+        s.included = s.compatible
+        after = screening.sync_check(s.compatible, s.screening.where("decision = 'included'")).first()
+        s.counts["included"], s.counts["synchronized"] = after["included"], after["synchronized"]
 
     def _quality(self, s: State) -> None:
-        flow = screening.flow_counts(s.imported, s.kept, s.cleaned, s.excluded)
-        s.quality = screening.quality(flow, s.issues, screening.sync_check(s.compatible, s.included)).first().asDict()
+        included = s.screening.where("decision = 'included'")
+        flow = screening.flow_counts(readers.import_counts(s.imported), s.imported, s.kept, s.cleaned, included, s.excluded)
+        s.quality = screening.quality(flow, s.issues, screening.sync_check(s.compatible, included)).first().asDict()
 
     def _export(self, s: State, output: str) -> None:
-        path = lambda n: os.path.join(output, n)
-        sinks.write_csv(s.cleaned, path("Master_Dataset.csv"))
+        path = lambda n: f"{output.rstrip('/')}/{n}"
+        spark = self.spark
+        sinks.write_csv(sinks.first_filled(s.cleaned, s.kept, s.imported), path("Master_Dataset.csv"))
+        sinks.write_csv(s.included, path("Included_Studies.csv"))
         sinks.write_csv(s.compatible, path("Bibliometrix_Compatible.csv"))
         sinks.write_tagged(s.compatible, path("Bibliometrix_Compatible.txt"))
         s.screening.write.mode("overwrite").option("header", True).csv(path("Screening_Log.csv"))
         s.excluded.write.mode("overwrite").option("header", True).csv(path("Excluded_Studies.csv"))
         s.issues.write.mode("overwrite").parquet(path("Validation_Issues.parquet"))
         readers.provenance(s.imported).write.mode("overwrite").json(path("Provenance_Log.json"))
-        doc = {"pipeline_stages": s.log, "stages": {x["stage"]: x for x in s.log}, "r_certification": s.certification, "errors": s.errors, "statistics": s.counts, "quality": s.quality}
-        sinks.write_json(doc, path("Audit_Log.json"))
+        doc = {"pipeline_stages": s.log, "stages": {x["stage"]: x for x in s.log}, "r_certification": s.certification, "errors": s.errors, "warnings": s.warnings, "statistics": s.counts, "quality": s.quality}
+        sinks.write_json(spark, doc, path("Audit_Log.json"))
         if s.mapping:
             sinks.write_mapping_report(s.mapping, path("Mapping_Report"))
-        sinks.write_json(s.certification, path("R_Validation.json"))
-        with open(path("PRISMA_Flow.txt"), "w", encoding="utf-8") as f:
-            f.write(sinks.flow_text(s.counts, s.counts.get("duplicates", {})))
-        report = sinks.markdown("Execution summary", {"Stages": s.log, "Quality": [s.quality], "Certification": [{k: v for k, v in s.certification.items() if k != "analysis"}], "Analysis": [s.certification.get("analysis", {})]})
-        with open(path("Execution_Summary.md"), "w", encoding="utf-8") as f:
-            f.write(report)
+        sinks.write_json(spark, s.certification, path("R_Validation.json"))
+        files.write_text(spark, path("PRISMA_Flow.txt"), sinks.flow_text(s.counts, s.counts.get("duplicates", {})))
+        rows = lambda d: [d] if d else []
+        flat = {k: v for k, v in s.certification.items() if k not in ("analysis", "written")}
+        reports = {
+            "Validation_Report.md": ("Validation", {"Issues by severity": [{"severity": k, "issues": n} for k, n in s.counts.get("issues", {}).items()]}),
+            "Screening_Report.md": ("Screening", {"Records of each file": [{"file": k, "records": n} for k, n in s.counts.get("per_file", {}).items()], "Duplicates": [{"type": k, "records": n} for k, n in s.counts.get("duplicates", {}).items()], "Included": [{"records": s.counts.get("included", 0), "synchronized": s.counts.get("synchronized")}]}),
+            "Certification_Report.md": ("Certification", {"Layers": rows(flat), "Written and read again": rows(s.certification.get("written"))}),
+            "Execution_Summary.md": ("Execution summary", {"Stages": s.log, "Quality": rows(s.quality), "Certification": rows(flat), "Analysis": rows(s.certification.get("analysis")), "Warnings": [{"warning": w} for w in s.warnings], "Errors": [{"error": e} for e in s.errors]}),
+        }
+        if s.mapping:
+            reports["Mapping_Report.md"] = ("Mapping", {name: [r.asDict() for r in d.collect()] for name, d in s.mapping.items()})  # a few dozen rows each
+        for name, (title, tables) in reports.items():
+            files.write_text(spark, path(name), sinks.markdown(title, tables))
+        missing = [n for n, ok in sinks.verify_outputs(spark, output).items() if not ok]
+        if missing:
+            raise RuntimeError("not written: " + ", ".join(missing))

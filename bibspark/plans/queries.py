@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,8 +10,9 @@ from pyspark.sql import functions as F
 
 from bibspark.functions import text as X
 from bibspark.operators import analysis, certify, clean, compat, dedup, mapping, packed, screening, validate
-from bibspark.session import read_table
-from bibspark.sources import discovery, readers, sinks
+from bibspark.session import ensure_checkpoint_dir, read_table
+from bibspark.sources import discovery, files, readers, sinks
+from bibspark.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
 RECORD_TAGS = "PT AU AF TI SO PY DT DI DE ID AB CR C1 RP TC LA UT".split()
@@ -74,9 +76,14 @@ def provenance(spark, d):
 
 
 def detect_database(spark, d):
-    """The database that headers of each source's columns tell."""
-    heads = [(db, mapping.detect_database(list(m))) for db, m in sorted(mapping.MAPPINGS.items())]
-    return spark.createDataFrame(heads, "source_database string, detected string")
+    """The database that each table's own columns tell, under the names they have in an export."""
+    heads = {"bib_records": [t for t in RECORD_TAGS if t.lower() in read_table(spark, d, "bib_records").columns], "dimensions_rows": dimensions(spark, d).columns, "documents": read_table(spark, d, "documents").columns}
+    rows = [(n, mapping.detect_database(cols), len(cols)) for n, cols in sorted(heads.items())]
+    return spark.createDataFrame(rows, "table_name string, detected string, columns int")
+
+
+def database_group_records(spark, d):
+    return discovery.group_records(read_table(spark, d, "source_files"), readers.import_counts(records(spark, d)))
 
 
 def database_groups(spark, d):
@@ -280,22 +287,39 @@ def doi_coverage(spark, d):
     return certify.coverage(records(spark, d), ["DI", "AB"])
 
 
+def duplicates(spark: SparkSession, d: str) -> DataFrame:
+    """One mapping for each record that is a duplicate."""
+    return screening.duplicates(mappings(spark, d), records(spark, d))
+
+
 def screening_log(spark, d):
-    return screening.screening_log(kept(spark, d), mappings(spark, d))
+    return screening.screening_log(kept(spark, d), duplicates(spark, d))
 
 
 def excluded_studies(spark, d):
-    return screening.excluded_studies(mappings(spark, d))
+    return screening.excluded_studies(duplicates(spark, d))
+
+
+def _included(spark, d):
+    return screening_log(spark, d).where("decision = 'included'")
 
 
 def prisma_counts(spark, d):
     k = kept(spark, d)
-    return screening.flow_counts(records(spark, d), k, clean.cleaned(k), mappings(spark, d))
+    return screening.flow_counts(readers.import_counts(records(spark, d)), records(spark, d), k, clean.cleaned(k), _included(spark, d), duplicates(spark, d))
+
+
+def flow_by_file(spark, d):
+    k = kept(spark, d)
+    return screening.flow_by_file(records(spark, d), k, clean.cleaned(k))
 
 
 def sync_check(spark, d):
-    c = clean.cleaned(kept(spark, d))
-    return screening.sync_check(compat.compatible(c), c)
+    """The records whose exported text can be read again, against those that the screening log includes."""
+    c = compat.compatible(clean.cleaned(kept(spark, d)), keep_internal=True)
+    text = sinks.tagged_lines(c).select("idx", F.array_join("lines", "\n").alias("value"))
+    back = readers.parse_tagged(text).where("PT IS NOT NULL").select("idx").join(c.select("idx", "record_id"), "idx")
+    return screening.sync_check(back, _included(spark, d))
 
 
 def quality_score(spark, d):
@@ -368,6 +392,37 @@ def cocitation_pairs(spark, d):
     return analysis.occurring_together(records(spark, d), X.parts("CR"))
 
 
+# --- arriving records
+
+
+def _into_folder(spark, name: str) -> str:
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
+def _stream(spark, d, name: str) -> DataFrame:
+    """A table as a stream of its files."""
+    path, read = f"{d}/{name}.parquet", spark.readStream.schema(read_table(spark, d, name).schema)
+    return read.parquet(path) if files.is_folder(spark, path) else read.option("pathGlobFilter", f"{name}.parquet").parquet(d)
+
+
+def stream_arrivals(spark, d):
+    """Events by hour and type, counted by a stream over the whole table."""
+    out = _into_folder(spark, "arrivals")
+    stream = _stream(spark, d, "events")
+    write = lambda b, no: b.write.mode("overwrite").parquet(f"{out}/table")
+    incremental.arrivals(stream, "ts", "event_type").writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", f"{out}/ck").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{out}/table")
+
+
+def stream_accepted(spark, d):
+    """Records that arrive with identifiers not seen before, taken by a stream over the whole table."""
+    out = _into_folder(spark, "accepted")
+    stream = _stream(spark, d, "bib_records").select("idx", F.col("di").alias("DI"), F.col("ut").alias("UT"))
+    incremental.accept(spark, stream, f"{out}/store", f"{out}/ck").awaitTermination()
+    return spark.read.parquet(f"{out}/store").select("idx")
+
+
 # --- problem 1
 
 
@@ -376,11 +431,11 @@ def p1_found(spark, d):
 
 
 def queries() -> dict[str, Query]:
-    names = """import_counts merge_union_by_name provenance detect_database database_groups merge_policy_pairs
+    names = """import_counts merge_union_by_name provenance detect_database database_groups database_group_records merge_policy_pairs
         dedup_doi_exact dedup_ut_exact group_places title_block_stats title_similarity_pairs title_classes dedup_title_similarity dedup_author_year dedup_mappings dedup_summary mapping_summary
         validation_issues issues_by_severity issues_by_field
         clean_doi clean_keywords clean_authors clean_years normal_titles fixed_dashes squeezed_text countries cleaned_records cleaning_actions country_counts keyword_counts journal_counts
         compat_records generated_ut author_format field_profile mapping_field_results mapping_field_results_dimensions metadata_preservation coverage_and_quality unmapped_columns
-        layer1_checks author_format_sample year_range doi_coverage screening_log excluded_studies prisma_counts sync_check quality_score wos_text_lines wos_record_roundtrip
-        biblio_analysis top_authors top_sources top_keywords top_countries annual_production most_cited coauthor_pairs keyword_cooccurrence cocitation_pairs p1_found""".split()
+        layer1_checks author_format_sample year_range doi_coverage screening_log excluded_studies prisma_counts flow_by_file sync_check quality_score wos_text_lines wos_record_roundtrip
+        biblio_analysis top_authors top_sources top_keywords top_countries annual_production most_cited coauthor_pairs keyword_cooccurrence cocitation_pairs stream_arrivals stream_accepted p1_found""".split()
     return {n: globals()[n] for n in names} | {"flagship": flagship}

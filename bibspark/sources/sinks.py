@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import json
-import os
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bibspark.functions.text import chunks, squeeze, strip
 from bibspark.schema import EXTRA_TAGS, TAGS, TEXT_ALWAYS, WRAPPED
+from bibspark.sources import files
 
 HEADER = ["FN Clarivate Analytics Web of Science", "VR 1.0"]
 WIDTH = 80
@@ -69,28 +69,37 @@ def write_csv(df: DataFrame, path: str, single: bool = False) -> None:
     (out.coalesce(1) if single else out).write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').csv(path)
 
 
+#: Rows of a sheet, and what a workbook isn't for.
+SHEET_ROWS = 1_000_000
+
+
 def write_xlsx(df: DataFrame, path: str) -> bool:
-    """A workbook, if the optional library is there; False if it was skipped."""
+    """A workbook on a local path, rows streamed to it, if the optional library is there; False if it was skipped."""
     try:
-        import openpyxl  # noqa: F401
+        from openpyxl import Workbook
     except ImportError:
         return False
-    df.toPandas().to_excel(path, index=False)
+    book, sheet = Workbook(write_only=True), None
+    for k, row in enumerate(df.toLocalIterator()):
+        if k % SHEET_ROWS == 0:
+            sheet = book.create_sheet()
+            sheet.append(df.columns)
+        sheet.append([str(x) if isinstance(x, (list, dict)) else x for x in row])
+    if sheet is None:
+        book.create_sheet().append(df.columns)
+    book.save(path)
     return True
 
 
-def write_json(doc: dict, path: str) -> None:
-    os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
-    with open(path, "w", encoding="utf-8") as f:
-        json.dump(doc, f, ensure_ascii=False, indent=2, default=str)
+def write_json(spark: SparkSession, doc: dict, path: str) -> None:
+    files.write_text(spark, path, json.dumps(doc, ensure_ascii=False, indent=2, default=str))
 
 
-def read_audit(path: str) -> list | dict:
+def read_audit(spark: SparkSession, path: str) -> list | dict:
     """A JSON log; an unreadable or missing one is an empty list."""
     try:
-        with open(path, encoding="utf-8") as f:
-            return json.load(f)
-    except (OSError, ValueError):
+        return json.loads(files.read_text(spark, path)) if files.exists(spark, path) else []
+    except ValueError:
         return []
 
 
@@ -112,22 +121,27 @@ def markdown(title: str, tables: dict[str, list[dict]]) -> str:
 def flow_text(counts: dict, duplicates: dict[str, int]) -> str:
     """The counts of the stages as plain text."""
     rows = [("Records imported", counts.get("imported", 0)), ("Duplicates removed", sum(duplicates.values())), *[(f"  {k}", v) for k, v in sorted(duplicates.items())]]
-    rows += [("After deduplication", counts.get("after_dedup", 0)), ("After cleaning", counts.get("after_cleaning", 0)), ("Included", counts.get("after_cleaning", 0))]
+    rows += [(f"  {k}", v) for k, v in sorted(counts.get("per_file", {}).items())]
+    rows += [("Merged", counts.get("merged", counts.get("imported", 0))), ("After deduplication", counts.get("after_dedup", 0)), ("After cleaning", counts.get("after_cleaning", 0)), ("Included", counts.get("included", counts.get("after_cleaning", 0)))]
     return "\n".join(f"{name:<24}{n:>12,}" for name, n in rows) + "\n"
 
 
 def write_mapping_report(sheets: dict[str, DataFrame], folder: str) -> None:
     """One CSV for each sheet: summary, field mapping, unmapped columns, metadata preservation."""
     for name, df in sheets.items():
-        df.coalesce(1).write.mode("overwrite").option("header", True).csv(os.path.join(folder, name))  # a few dozen rows each
+        df.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{folder.rstrip('/')}/{name}")  # a few dozen rows each
+
+
+#: What an export leaves.
+OUTPUTS = ("Master_Dataset.csv", "Bibliometrix_Compatible.csv", "Bibliometrix_Compatible.txt", "Included_Studies.csv", "Excluded_Studies.csv", "Screening_Log.csv", "Validation_Issues.parquet", "Provenance_Log.json", "Audit_Log.json", "R_Validation.json", "PRISMA_Flow.txt", "Validation_Report.md", "Screening_Report.md", "Certification_Report.md", "Execution_Summary.md")
 
 
-def verify_outputs(folder: str, names: list[str]) -> dict[str, bool]:
+def verify_outputs(spark: SparkSession, folder: str, names: list[str] | tuple[str, ...] = OUTPUTS) -> dict[str, bool]:
     """Whether each file or folder is there and not empty."""
     ok = {}
     for n in names:
-        p = os.path.join(folder, n)
-        ok[n] = os.path.isfile(p) and os.path.getsize(p) > 0 or os.path.isdir(p) and any(not x.startswith((".", "_")) for x in os.listdir(p))
+        p = f"{folder.rstrip('/')}/{n}"
+        ok[n] = files.exists(spark, p) and (files.size(spark, p) > 0 or len([x for x in files.walk(spark, p) if not x.rsplit("/", 1)[-1].startswith((".", "_"))]) > 0)
     return ok
 
 

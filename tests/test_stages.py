@@ -1,11 +1,12 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from bibspark.functions import text as X
 from bibspark.functions.similarity import register
-from bibspark.operators import certify, clean, compat, mapping, validate
+from bibspark.operators import certify, clean, compat, mapping, screening, validate
 from bibspark.plans.pipeline import Pipeline
 from bibspark.plans.queries import records
 from bibspark.sources import discovery, readers, sinks
@@ -121,15 +122,15 @@ def test_pipeline_over_a_folder(spark, tmp_path):
     assert s.errors == [] and s.counts["imported"] == 3 and s.counts["after_dedup"] == 1
     assert s.counts["duplicates"] == {"doi_exact": 1, "title_similarity": 1}
     assert s.certification["certified"] and s.quality["grade"] in "ABCDF"
-    assert all(sinks.verify_outputs(out, ["Master_Dataset.csv", "Bibliometrix_Compatible.csv", "Bibliometrix_Compatible.txt", "Audit_Log.json", "Execution_Summary.md"]).values())
+    assert all(sinks.verify_outputs(spark, out, ["Master_Dataset.csv", "Bibliometrix_Compatible.csv", "Bibliometrix_Compatible.txt", "Audit_Log.json", "Execution_Summary.md"]).values())
     audit = json.load(open(os.path.join(out, "Audit_Log.json")))
     assert audit["pipeline_stages"]
-    assert all(certify.certification_checks(audit, out, "Bibliometrix_Compatible.txt").values())
-    assert len(certify.certification_id(os.path.join(out, "PRISMA_Flow.txt"))) == 21
+    assert all(certify.certification_checks(spark, audit, out, "Bibliometrix_Compatible.txt").values())
+    assert len(certify.certification_id(spark, os.path.join(out, "PRISMA_Flow.txt"))) == 21
     assert "Records imported" in open(os.path.join(out, "PRISMA_Flow.txt")).read()
-    assert all(sinks.verify_outputs(out, ["Mapping_Report", "R_Validation.json"]).values())
+    assert all(sinks.verify_outputs(spark, out, ["Mapping_Report", "R_Validation.json"]).values())
     assert certify.required_fields(s.compatible) == []
-    assert sinks.read_audit(os.path.join(out, "none.json")) == []
+    assert sinks.read_audit(spark, os.path.join(out, "none.json")) == []
 
 
 def test_discovery(spark, tmp_path):
@@ -138,9 +139,9 @@ def test_discovery(spark, tmp_path):
     (sub / "d.csv").write_text("Publication ID,Title,DOI,PubYear\np,T,10.1/x,2001\n")
     (sub / "w.txt").write_text("FN X\nVR 1.0\nPT J\nAU A\nTI T\nSO S\nPY 2001\nER\n")
     (sub / "skip.doc").write_text("x")
-    found = discovery.discover(str(tmp_path))
+    found = discovery.discover(spark, str(tmp_path))
     assert [os.path.basename(f) for f in found] == ["d.csv", "w.txt"]
-    d, w = (discovery.identify(f) for f in found)
+    d, w = (discovery.identify(spark, f) for f in found)
     assert (d.database_source, d.export_format, w.database_source, w.encoding) == ("Dimensions", "CSV", "Web of Science", "utf-8")
     assert discovery.level(0.96) == "HIGH" and discovery.level(0.90) == "MEDIUM" and discovery.level(0.70) == "LOW"
     assert discovery.may_merge("A", "A")[0] and "BLOCKED" in discovery.may_merge("A", "B")[1]
@@ -149,9 +150,40 @@ def test_discovery(spark, tmp_path):
     assert discovery.report([d, w])["framework_version"] == "2.0.0"
 
 
-def test_certification():
-    assert certify.certification(True, 5, 5)["status"] == "READY_FOR_BIBLIOSHINY"
-    assert certify.certification(True, 4, 5) | {"layer1": 0} != {} and not certify.certification(True, 4, 5)["certified"]
+def test_certification_fails_on_a_broken_export(spark, data, tmp_path):
+    fields = ["TI", "AU", "SO", "PY", "DI", "UT"]
+    r = compat.compatible(clean.cleaned(records(spark, data)), keep_internal=True)
+    path = str(tmp_path / "out.txt")
+    sinks.write_tagged(r, path)
+    good = certify.reread(r, readers.read_tagged(spark, path), fields)
+    assert good["changed"] == [] and certify.certification(True, good)["status"] == "READY_FOR_BIBLIOSHINY" and not certify.certification(False, good)["certified"]
+    lost = certify.reread(r, readers.read_tagged(spark, path).where("TI <> ''").limit(5), fields)
+    assert not certify.certification(True, lost)["certified"]
+    changed = certify.reread(r, readers.read_tagged(spark, path).withColumn("SO", F.upper("SO")), fields)
+    assert changed["changed"] == ["SO"] and not certify.certification(True, changed)["certified"]
+    # an export without records certifies nothing
+    assert not certify.certification(True, certify.reread(r.limit(0), r.limit(0), fields))["certified"]
+
+
+def test_sync_and_quality_see_differences(spark):
+    ids = lambda *x: spark.createDataFrame([(i,) for i in x], "record_id string")
+    same, other = screening.sync_check(ids("a", "b"), ids("b", "a")), screening.sync_check(ids("a", "b"), ids("b", "c", "d"))
+    assert same.first()["synchronized"] and tuple(other.first()) == (2, 3, 1, 2, False)
+    assert screening.sync_check(ids("a").limit(0), ids("a").limit(0)).first()["synchronized"]
+    files = spark.createDataFrame([("f", 5)], "source_file string, records long")
+    flow = screening.flow_counts(files, ids(*"abcde"), ids(*"abc"), ids(*"abc"), ids(*"abc"), ids(*"de"))
+    assert tuple(flow.first()) == (5, 5, 2, 3, 3, 3, 2)
+    issues = ids("a")
+    score = lambda f, y: tuple(screening.quality(f, issues, y).first())
+    assert score(flow, same) == (100, "PASS", "A") and score(flow, other) == (65, "PASS", "C")
+    none = screening.flow_counts(files.limit(0), ids("a").limit(0), ids("a").limit(0), ids("a").limit(0), ids("a").limit(0), ids("a").limit(0))
+    assert score(none, screening.sync_check(ids("a").limit(0), ids("a").limit(0)))[::2] == (5, "F")
+
+
+def test_one_decision_for_each_record(spark):
+    rec = spark.createDataFrame([(x, "t", "f") for x in "abcd"], "record_id string, TI string, source_file string")
+    m = spark.createDataFrame([("a", "b", "doi_exact", 100.0, "f"), ("a", "c", "ut_exact", 100.0, "f"), ("a", "c", None, None, None), ("b", "b", "x", 1.0, "f"), ("c", None, "x", 1.0, "f"), ("z", "a", "x", 1.0, "f"), ("d", " ", "x", 1.0, "f")], "record_id string, duplicate_of string, match_type string, similarity_score double, source_file string")
+    assert [tuple(r) for r in screening.duplicates(m, rec).collect()] == [("a", "b", "doi_exact", 100.0, "f")]
 
 
 def test_streaming(spark, data, tmp_path):
@@ -174,7 +206,52 @@ def test_streaming(spark, data, tmp_path):
 
 
 def test_detect_database_sees_every_header(spark, data):
-    from bibspark.plans.queries import queries
-
-    got = {r.source_database: r.detected for r in queries()["detect_database"](spark, data).collect()}
+    got = {db: mapping.detect_database(list(m)) for db, m in mapping.MAPPINGS.items()}
     assert got["Lens"] == "Lens" and got["PubMed"] == "PubMed" and got["Scopus"] == "Scopus"
+
+
+def test_files_of_all_formats(spark, tmp_path):
+    w = lambda n, t, e="utf-8": (tmp_path / n).write_bytes(t.encode(e))
+    w("a.bib", "@article{k1,\n  title = {On {Soil} and\n   water},\n  author = {Aa, B and Cc, D},\n  journal = \"J\",\n  year = 2001\n}\n@book{k2,\n title={Two}, year={2002}\n}\n")
+    w("b.enw", "%0 Journal Article\n%T One\n%A Aa, B\n%A Cc, D\n%D 2001\n\n%0 Book\n%T Two\n")
+    w("c.xml", "<xml><records><record><titles><title>One &amp; all</title></titles><contributors><authors><author>Aa, B</author><author>Cc, D</author></authors></contributors><dates><year>2001</year></dates></record><record><titles><title>Two</title></titles></record></records></xml>")
+    w("d.ciw", "FN X\nVR 1.0\nPT J\nTI One\nER\n\nEF\n")
+    w("e.csv", "Title,Authors,Source,Year,DOI\nÉtude,Ñandú,S,2001,10.1/x\n", "cp1252")
+    w("f.csv", 'Title,Authors,Source,Year,DOI\n"A\nB",X,S,2001,10.1/x\n')
+    w("empty.txt", "")
+    read = lambda n: readers.read_any(spark, str(tmp_path / n)).orderBy("original_index").collect()
+    a, b, c = read("a.bib"), read("b.enw"), read("c.xml")
+    assert [(r.TI, r.AU, r.SO, r.PY) for r in a] == [("On Soil and water", "Aa, B; Cc, D", "J", "2001"), ("Two", "", "", "2002")]
+    assert [(r.TI, r.AU) for r in b] == [("One", "Aa, B; Cc, D"), ("Two", "")] and [(r.AU, r.PY) for r in c] == [("Aa, B; Cc, D", "2001"), ("", "")]
+    assert read("d.ciw")[0].TI == "One" and read("e.csv")[0].TI == "Étude" and read("e.csv")[0].AU == "Ñandú" and read("f.csv")[0].TI == "A\nB"
+    assert [os.path.basename(f) for f in readers.list_files(spark, str(tmp_path))] == ["empty.txt", "e.csv", "f.csv", "a.bib", "b.enw", "c.xml", "d.ciw"]
+    with pytest.raises(ValueError):
+        readers.list_files(spark, str(tmp_path), 2)
+    warned, failed = [], []
+    out = readers.import_folder(spark, str(tmp_path), warned.append, failed.append, 7)
+    assert out.count() == 9 and failed == [] and any("empty.txt" in x for x in warned)
+    with pytest.raises(ValueError, match="different databases"):
+        readers.import_folder(spark, str(tmp_path), warned.append, failed.append, one_database=True)
+
+
+def test_schema_check_sees_malformed_and_lost(spark):
+    df = spark.createDataFrame([("p", "T\ufffd", "10.1/x", "n.d."), ("q", "U", "10.1/y", "x")], "`Publication ID` string, Title string, DOI string, PubYear string")
+    by = {f["field"]: f for f in discovery.schema_check(df, "Dimensions")[0]}
+    assert by["PubYear"]["status"] == "MALFORMED" and not by["Title"]["encoding_valid"] and by["DOI"]["encoding_valid"]
+
+
+def test_late_rows_and_restart_of_a_stream(spark, tmp_path):
+    src, out, ck = (str(tmp_path / x) for x in ("src", "out", "ck"))
+    put = lambda *x: spark.createDataFrame([(k, t) for k, t in x], "k string, t string").selectExpr("k", "cast(t AS timestamp) AS t").coalesce(1).write.mode("append").parquet(src)
+
+    def run():
+        st = incremental.arrivals(spark.readStream.schema("k string, t timestamp").parquet(src), "t", "k")
+        st.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck).outputMode("append").trigger(availableNow=True).start().awaitTermination()
+
+    put(("a", "2024-01-01 00:10:00"), ("a", "2024-01-01 00:20:00"), ("a", "2024-01-01 09:00:00"))
+    run()
+    put(("a", "2024-01-01 00:30:00"), ("a", "2024-01-01 09:30:00"), ("b", "2024-01-01 18:00:00"))  # the first is later than the watermark
+    run()
+    run()
+    got = {(r.k, str(r.start)): r.n for r in spark.read.parquet(out).collect()}
+    assert got == {("a", "2024-01-01 00:00:00"): 2, ("a", "2024-01-01 09:00:00"): 2}
