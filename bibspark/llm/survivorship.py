@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bibspark.llm.garbled import examine
+from bibspark.session import cut
 
 FIELDS = ("ab", "cr", "di")
 
@@ -65,27 +66,37 @@ def different_works(cr) -> F.Column:
     return F.size(F.array_distinct(F.filter(parts, lambda p: p != "")))
 
 
-def survivors(records: DataFrame, groups: DataFrame, sources: DataFrame) -> DataFrame:
-    """(group_id, fld, record_id) from records, (record_id, group_id) and the trusted-source list."""
+#: Group members of which the list may be broadcast: some 40 MB.
+BROADCAST = 300_000
+
+
+def survivors(records: DataFrame, groups: DataFrame, sources: DataFrame, bound: int = BROADCAST) -> DataFrame:
+    """(group_id, fld, record_id) from records, (record_id, group_id) and the trusted-source list.
+
+    Texts are judged where they are read and only ranks are moved. A short list of members is broadcast
+    before that, so the texts of other records aren't judged at all.
+    """
     trust = sources.groupBy("source_file").agg(F.min("trust_rank").alias("trust_rank"))  # one row per file: fixed, small
-    rows = (
-        records.select("record_id", "source_file", "imported_at", "ab", "cr", "di")
-        .join(groups, "record_id")
-        .join(trust, "source_file", "left")
-        .withColumn("q", _ab_quality("ab"))
-        .select(
-            "group_id",
-            "record_id",
-            F.coalesce(F.col("trust_rank").cast("int"), F.lit(2**31 - 1)).alias("trust"),
-            F.coalesce(-F.unix_micros(F.col("imported_at").cast("timestamp")), F.lit(2**63 - 1)).alias("late"),
-            F.col("q.rank").alias("ab_1"),
-            F.col("q.size").alias("ab_2"),
-            F.when(different_works("cr") > 0, -different_works("cr")).alias("cr_1"),
-            F.lit(0).alias("cr_2"),
-            F.when(F.col("di").rlike(DOI), 0).alias("di_1"),
-            F.lit(0).alias("di_2"),
-        )
+    groups = cut(groups.select("record_id", "group_id"))
+    small = groups.count() <= bound
+    rows = records.select("record_id", "source_file", "imported_at", "ab", "cr", "di")
+    if small:
+        rows = rows.join(F.broadcast(groups), "record_id")
+    rows = rows.withColumn("q", _ab_quality("ab")).select(
+        "record_id",
+        "source_file",
+        *(["group_id"] if small else []),
+        F.coalesce(-F.unix_micros(F.col("imported_at").cast("timestamp")), F.lit(2**63 - 1)).alias("late"),
+        F.col("q.rank").alias("ab_1"),
+        F.col("q.size").alias("ab_2"),
+        F.when(different_works("cr") > 0, -different_works("cr")).alias("cr_1"),
+        F.lit(0).alias("cr_2"),
+        F.when(F.col("di").rlike(DOI), 0).alias("di_1"),
+        F.lit(0).alias("di_2"),
     )
+    if not small:
+        rows = rows.join(groups, "record_id")
+    rows = rows.join(trust, "source_file", "left").withColumn("trust", F.coalesce(F.col("trust_rank").cast("int"), F.lit(2**31 - 1)))
     best = [F.min(F.when(F.col(f"{f}_1").isNotNull(), F.struct(f"{f}_1", f"{f}_2", "trust", "late", "record_id"))).getField("record_id").alias(f) for f in FIELDS]
     wide = rows.groupBy("group_id").agg(*best)
     return wide.select("group_id", F.explode(F.array(*[F.struct(F.lit(f).alias("fld"), F.col(f).alias("record_id")) for f in FIELDS])).alias("x")).select("group_id", "x.fld", "x.record_id").where("record_id IS NOT NULL")

@@ -154,8 +154,8 @@ def test_survivors(spark):
     )
     grp = spark.createDataFrame([(x, "a") for x in "abcdz"], "record_id string, group_id string")
     src = spark.createDataFrame([("f1", 1), ("f2", 2)], "source_file string, trust_rank int")
-    got = sorted(tuple(r) for r in survivorship.survivors(rec, grp, src).collect())
-    assert got == [("a", "ab", "b"), ("a", "cr", "a"), ("a", "di", "b")]
+    got, joined = (sorted(tuple(r) for r in survivorship.survivors(rec, grp, src, n).collect()) for n in (100, 0))
+    assert joined == got == [("a", "ab", "b"), ("a", "cr", "a"), ("a", "di", "b")]
     assert survivorship.survivors(rec.limit(0), grp, src).count() == 0
 
 
