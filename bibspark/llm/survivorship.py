@@ -29,11 +29,18 @@ from bibspark.session import cut
 
 FIELDS = ("ab", "cr", "di")
 
-#: Texts suppliers write where there is no abstract.
-NO_ABSTRACT = re.compile(
-    r"^\W*(?:n\W?a|none|null|abstract|no abstract(?: is)?(?: available)?|abstract (?:not available|missing|unavailable|withheld)\b.*|not available|this entry came without a summary\b.*|.{0,60}without (?:a summary|an abstract)\b.{0,200}|.{0,80}does not pass on summaries\b.*)\W*$",
-    re.I | re.S,
-)
+#: A text that only says there is no abstract: nothing but a word for that, or a short note of which one sentence
+#: has both a word for abstracts and a denial.
+NO_ABSTRACT = re.compile(r"^\W*(?:n\W?a|none|null|not available|abstract|summary)\W*$", re.I)
+NOTE = 250
+_ABSTRACTS = re.compile(r"\b(?:abstracts?|summar(?:y|ies)|resumen|resúmenes|resumos?|résumés?|zusammenfassung(?:en)?|аннотаци\w+)\b", re.I)
+_DENIAL = re.compile(r"\b(?:no|not|none|never|without|missing|unavailable|withheld|lacks?|absent|sin|sem|não|sans|pas|kein\w*|ohne|nicht|fehlt|нет|не|без)\b", re.I)
+
+
+def _only_denies(text: str) -> bool:
+    return bool(NO_ABSTRACT.match(text)) or (len(text) <= NOTE and any(_ABSTRACTS.search(s) and _DENIAL.search(s) for s in re.split(r"(?<=[.!?;])\s+", text)))
+
+
 NOTICE = re.compile(r"\s*(?:©|\(c\)|copyright)\s*(?:\(c\)\s*|©\s*)?\d{4}\b.{0,200}$", re.I | re.S)
 CUT_MARK = re.compile(r"\s*(?:\[\s*(?:truncated|cut|…|\.\.\.)\s*\]|\(truncated\)|…|\.\.\.+)\s*$", re.I)
 WHOLE_END = re.compile(r"[.!?。][\"”’»)\]\s]*$")
@@ -46,7 +53,7 @@ def abstract_quality(text: str | None) -> tuple[int, int] | None:
         return None
     bad, restored = examine(text, "ab")
     body = NOTICE.sub("", (restored or text).strip()).strip()
-    if not body or NO_ABSTRACT.match(body):
+    if not body or _only_denies(body):
         return None
     kept = CUT_MARK.sub("", body)
     if kept != body or not WHOLE_END.search(body):

@@ -142,6 +142,9 @@ def test_abstract_quality():
     assert q("A cut te [truncated]") == (2, -8) == q("A cut te …") == q("A cut te...") == q("A cut te")
     for t in (None, " ", "[No abstract available]", "n/a", "Abstract missing in the delivery.", "ABSTRACT WITHHELD. The supplier does not pass on summaries.", "This entry came without a summary; whoever needs one."):
         assert q(t) is None
+    for t in ("Resumen no disponible.", "Kein Abstract vorhanden", "The publisher gives no summary for this item."):
+        assert q(t) is None
+    assert q("No effect of lime on yield was found.") == (0, 0)
 
 
 def test_survivors(spark):
