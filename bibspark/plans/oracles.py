@@ -2,8 +2,22 @@
 
 from __future__ import annotations
 
-from bibspark.operators.mapping import AFTER, BEFORE
-from bibspark.schema import COUNTRY_NAMES, MANDATORY, MAPPINGS, TAGS, TEXT_ALWAYS, VALID_MANDATORY, VALID_RECOMMENDED, WRAPPED
+# Fixed values, written out here once more so that a wrong one in the library shows.
+TAGS = "PT AU AF TI SO LA DT DE ID AB C1 RP EM FU FX CR NR TC Z9 U1 U2 PY PU PI PA SN EI J9 JI PD VL IS BP EP DI PG WC SC GA UT DA".split()
+MANDATORY = "AU TI SO PY DT DI DE ID CR C1 RP TC LA".split()
+VALID_MANDATORY = "TI AU SO PY DT".split()
+VALID_RECOMMENDED = "AB DE DI UT C1".split()
+TEXT_ALWAYS = "PT AU TI SO PY DT DE C1 RP CR UT LA".split()
+WRAPPED = "AU AF C1 DE ID CR AB FX FU".split()
+DIMENSIONS_TAGS = "TI AU SO PY DI DE".split()
+COUNTRY_NAMES = {
+    "usa": "United States", "us": "United States", "u.s.a.": "United States", "u.s.": "United States",
+    "uk": "United Kingdom", "u.k.": "United Kingdom", "england": "United Kingdom", "scotland": "United Kingdom", "wales": "United Kingdom",
+    "peoples r china": "China", "pr china": "China", "china pr": "China",
+    "s korea": "South Korea", "republic korea": "South Korea", "south-korea": "South Korea", "ussr": "Russia", "soviet union": "Russia",
+}
+#: Tags of the table by measure of preservation.
+GROUPS = {"Document Count": ["TI"], "Author Count": ["AU"], "DOI Count": ["DI"], "Journal Count": ["SO"], "Keyword Count": ["DE", "ID"], "Affiliation Count": ["C1"]}
 
 _TAGS = "pt au af ti so py dt di de id ab cr c1 rp tc la ut".split()
 
@@ -185,7 +199,7 @@ def profile(fields: list[str]) -> str:
 def field_results() -> str:
     """Mandatory tags, then mapped source columns, of the tagged table."""
     have = [t for t in TAGS if t.lower() in _TAGS]
-    rows = [(t, t) for t in MANDATORY] + [(s, t) for s, t in MAPPINGS["Web of Science"].items() if t in have]
+    rows = [(t, t) for t in MANDATORY] + [(t, t) for t in have]
     one = "SELECT '{s}' AS source_field, '{t}' AS target_field, count(*) - {e} AS mapped_records, {e} AS missing_records, floor((2000 * ({e}) + count(*)) // (2 * count(*))) / 10.0::DOUBLE AS null_percentage, CASE WHEN ({e})::DOUBLE / count(*) * 100 < 10 THEN 'PASS' ELSE 'WARNING' END AS status FROM bib_records"
     return " UNION ALL ".join(one.format(s=s, t=t, e=empty(t.lower())) for s, t in rows)
 
@@ -202,7 +216,7 @@ def measure(table: str, cols: dict[str, list[str]]) -> dict[str, str]:
 
 
 def preservation() -> str:
-    a, b = measure("bib_records", BEFORE), measure("cleaned", AFTER)
+    a, b = measure("bib_records", GROUPS), measure("cleaned", GROUPS)
     rows = [
         f"SELECT '{n}' AS metric, {a[n]} AS o, {b[n]} AS n" for n in a
     ]
@@ -272,7 +286,7 @@ SELECT overall_score, metadata_status, CASE WHEN overall_score >= 90 THEN 'A' WH
     dim_map = [("Title", "TI"), ("Authors", "AU"), ("Source title", "SO")]
     dim_one = "SELECT '{s}' AS source_field, '{t}' AS target_field, count(*) - {e} AS mapped_records, {e} AS missing_records, floor((2000 * ({e}) + count(*)) // (2 * count(*))) / 10.0::DOUBLE AS null_percentage, CASE WHEN ({e})::DOUBLE / count(*) * 100 < 10 THEN 'PASS' ELSE 'WARNING' END AS status FROM dimensions_rows"
     dim_rows = [dim_one.format(s=t, t=t, e=empty(dim_tags[t])) for t in MANDATORY if t in dim_tags] + [dim_one.format(s=s, t=t, e=empty(dim_tags[t])) for s, t in dim_map]
-    dim_targets = set(MAPPINGS["Dimensions"].values())
+    dim_targets = set(DIMENSIONS_TAGS)
     dim_rows += [
         f"SELECT 'N/A', '{t}', 0, count(*), 100.0, 'FAILED' FROM dimensions_rows" if t in dim_targets else f"SELECT 'N/A', '{t}', 0, 0, 0.0, 'NOT_AVAILABLE_FROM_SOURCE'" for t in MANDATORY if t not in dim_tags
     ]

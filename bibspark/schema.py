@@ -4,17 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# All names below are fixed values that exports and results have to agree on.
+
 #: Output order of the tags.
-TAGS = "PT AU AF TI SO LA DT DE ID AB C1 RP EM FU FX CR NR TC Z9 U1 U2 PY PU PI PA SN EI J9 JI PD VL IS BP EP DI PG WC SC GA UT DA".split()
-EXTRA_TAGS = "RI OI AR EA WE PM".split()
-MANDATORY = "AU TI SO PY DT DI DE ID CR C1 RP TC LA".split()
-VALID_MANDATORY = "TI AU SO PY DT".split()
-VALID_RECOMMENDED = "AB DE DI UT C1".split()
-COMPAT_REQUIRED = "PT AU AF TI SO LA DT DE ID AB C1 RP PY UT".split()
-LAYER1_MANDATORY = "PT AU TI SO PY DT UT".split()
-LAYER1_RECOMMENDED = "AF LA DE ID AB C1 RP DI CR TC".split()
-TEXT_ALWAYS = "PT AU TI SO PY DT DE C1 RP CR UT LA".split()
-WRAPPED = "AU AF C1 DE ID CR AB FX FU".split()
+TAGS = [
+    "PT", "AU", "AF", "TI", "SO", "LA", "DT", "DE", "ID", "AB", "C1", "RP", "EM", "FU", "FX", "CR", "NR", "TC", "Z9", "U1",
+    "U2", "PY", "PU", "PI", "PA", "SN", "EI", "J9", "JI", "PD", "VL", "IS", "BP", "EP", "DI", "PG", "WC", "SC", "GA", "UT",
+    "DA",
+]
+EXTRA_TAGS = ["RI", "OI", "AR", "EA", "WE", "PM"]
+MANDATORY = ["AU", "TI", "SO", "PY", "DT", "DI", "DE", "ID", "CR", "C1", "RP", "TC", "LA"]
+VALID_MANDATORY = ["TI", "AU", "SO", "PY", "DT"]
+VALID_RECOMMENDED = ["AB", "DE", "DI", "UT", "C1"]
+COMPAT_REQUIRED = ["PT", "AU", "AF", "TI", "SO", "LA", "DT", "DE", "ID", "AB", "C1", "RP", "PY", "UT"]
+LAYER1_MANDATORY = ["PT", "AU", "TI", "SO", "PY", "DT", "UT"]
+LAYER1_RECOMMENDED = ["AF", "LA", "DE", "ID", "AB", "C1", "RP", "DI", "CR", "TC"]
+TEXT_ALWAYS = ["PT", "AU", "TI", "SO", "PY", "DT", "DE", "C1", "RP", "CR", "UT", "LA"]
+WRAPPED = ["AU", "AF", "C1", "DE", "ID", "CR", "AB", "FX", "FU"]
 INTERNAL = ("idx", "record_id", "source_file", "imported_at")
 YEARS = (1900, 2030)
 

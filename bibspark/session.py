@@ -33,9 +33,9 @@ def cut(df: DataFrame) -> DataFrame:
     ensure_checkpoint_dir(spark)
     path = f"{spark.sparkContext.getCheckpointDir()}/bibspark-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _written.setdefault(id(spark.sparkContext), []).append(path)
-    if len(_written) == 1 and sum(map(len, _written.values())) == 1:
+    if id(spark.sparkContext) not in _written:
         atexit.register(release, spark)
+    _written.setdefault(id(spark.sparkContext), []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
