@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from bibspark.functions import text as X
 from bibspark.operators import analysis, certify, clean, compat, dedup, mapping, packed, screening, validate
-from bibspark.session import ensure_checkpoint_dir, read_table
+from bibspark.session import cut, ensure_checkpoint_dir, read_table
 from bibspark.sources import discovery, files, readers, sinks
 from bibspark.streaming import incremental
 
@@ -317,8 +317,8 @@ def flow_by_file(spark, d):
 def sync_check(spark, d):
     """The records whose exported text can be read again, against those that the screening log includes."""
     c = compat.compatible(clean.cleaned(kept(spark, d)), keep_internal=True)
-    text = sinks.tagged_lines(c).select("idx", F.array_join("lines", "\n").alias("value"))
-    back = readers.parse_tagged(text).where("PT IS NOT NULL").select("idx").join(c.select("idx", "record_id"), "idx")
+    text = sinks.tagged_lines(c.withColumn("idx", F.col("record_id"))).select(F.col("idx").alias("record_id"), F.array_join("lines", "\n").alias("value"))
+    back = cut(readers.parse_tagged(text).where("PT IS NOT NULL").select("record_id"))
     return screening.sync_check(back, _included(spark, d))
 
 

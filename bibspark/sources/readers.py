@@ -105,8 +105,8 @@ def parse_tagged(df: DataFrame, text: str = "value") -> DataFrame:
 
     def as_map(e: Column) -> Column:
         # the first of repeated tags counts
-        once = F.filter(e, lambda x, i: F.array_position(F.transform(e, lambda y: y["tag"]), x["tag"]) == i + 1)
-        return F.map_from_entries(once)
+        tags = F.transform(e, lambda x: x["tag"])
+        return F.when(F.size(F.array_distinct(tags)) == F.size(tags), F.map_from_entries(e)).otherwise(F.map_from_entries(F.filter(e, lambda x, i: F.array_position(tags, x["tag"]) == i + 1)))
 
     m = df.withColumn("_m", let(F.transform(blocks, _fold), as_map))
     return m.select(*[c for c in df.columns if c != text], *[F.try_element_at("_m", F.lit(t)).alias(t) for t in TAGS + EXTRA_TAGS])

@@ -48,7 +48,8 @@ def tagged_lines(df: DataFrame, flavour: str = "export") -> DataFrame:
 
 def write_tagged(df: DataFrame, path: str, flavour: str = "export") -> None:
     """Tagged text in import order; every part file starts with the header and is complete by itself."""
-    rows = tagged_lines(df, flavour).repartitionByRange("idx").sortWithinPartitions("idx").select(F.array_join("lines", "\n").alias("value"))
+    # ranges are drawn from the records, before the lines are made
+    rows = tagged_lines(df.repartitionByRange("idx").sortWithinPartitions("idx"), flavour).select(F.array_join("lines", "\n").alias("value"))
     head = "\n".join(HEADER) + "\n"
 
     def run(batches):
