@@ -466,10 +466,10 @@ def test_spam(spark):
 
 
 def test_phrases_of_a_page():
-    n = lambda t: sorted(spam.shingles(t, {})[1].tolist())
+    n = lambda t: sorted(np.unique(spam.shingles(t, spam._Hashes()), return_counts=True)[1].tolist())
     assert n("low fee, low fee") == [2, 2, 2] and n("low; fee") == [1, 1] and n(None) == [] == n(" ;")
     assert n("see https://www.a-b.test/buy/1") == [1] * 10  # see; a b test buy 1 and their neighbours
-    assert len(spam.shingles("wing length " * 50_000, {})[0]) == 4
+    assert len(np.unique(spam.shingles("wing length " * 50_000, spam._Hashes()))) == 4
 
 
 def test_nothing_else_imports_this_package():
