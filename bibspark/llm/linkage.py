@@ -215,6 +215,7 @@ def fit_label_model(patterns: np.ndarray, counts: np.ndarray, rounds: int = 500)
 _PREPARED = {
     "names": "array_distinct(names)",
     "years": "IF(year IS NULL, CAST(array() AS array<int>), array(year, year + 1))",  # at most a year apart: one in common
+    "near": "CASE WHEN year IS NULL THEN CAST(array() AS array<int>) WHEN side = 'b' THEN array(year) ELSE array(year - 1, year, year + 1) END",  # the same, but one in common only
     "journal": "nullif(journal, '')",
     "start": "slice(words, 1, 3)",
     "usual": "IF(size(plain) < 2, array(), transform(sequence(1, size(plain) - 1), i -> concat_ws(' ', plain[i - 1], plain[i])))",
@@ -225,6 +226,8 @@ _WEAK = (
     # each author with each rare title word and each two frequent ones next by alphabet
     "flatten(transform(names, s -> transform(rare, w -> xxhash64('a', w, s))))",
     "flatten(transform(names, s -> transform(usual, w -> xxhash64('f', w, s))))",
+    # each author in a year
+    "flatten(transform(names, s -> transform(near, y -> xxhash64('z', s, y))))",
     # a cut title with all that begin like it in a year: the side of the cut one is part of the key
     *(f"IF(size(words) > 3 AND (side <> '{x}' OR cut), transform(years, y -> xxhash64('c{x}', start, y)), NULL)" for x in "bd"),
 )

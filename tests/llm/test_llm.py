@@ -349,6 +349,22 @@ def test_common_words_and_misspelt_names_still_share_a_key(spark):
     assert linkage.candidate_keys(spark.createDataFrame(rows, cols).limit(0), []).count() == 0
 
 
+def test_candidates_reach_what_the_votes_accept(spark, data):
+    """Of all pairs of the smallest tables, those whose votes speak for one publication are candidates."""
+    t = lambda n: spark.read.parquet(f"{data}/{n}.parquet")
+    journals = canonical.Journals([tuple(r) for r in t("journals").select("ref_id", "journal_title", "iso_abbrev").collect()])
+    P = lambda rows: [(r[0], linkage.profile(*r[1:], journals, {})[:7]) for r in rows]
+    left, right = P(t("bib_records").select("idx", "ti", "au", "so", "py").collect()), P(t("dimensions_rows").select("publication_id", "title", "authors", "source_title", "pubyear").collect())
+    want = set()
+    for i, a in left:
+        for q, b in right:
+            v = linkage.votes(a, b)
+            if v[0] == 1 and -1 not in (v[3], v[6], v[7]) and sum(x for x in v if x is not None) >= 4:
+                want.add((i, q))
+    got = {(r.idx, r.publication_id) for r in linkage.link(t("bib_records"), t("dimensions_rows"), t("journals"), threshold=-1.0).collect()}
+    assert len(want) > 10 and len(want - got) <= 0.02 * len(want)
+
+
 # --- 8 packing
 
 
