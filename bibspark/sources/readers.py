@@ -80,7 +80,7 @@ def stamp(df: DataFrame, file: Column) -> DataFrame:
     w = Window.partitionBy("source_file", "_p").orderBy("_m")
     sums = d.groupBy("source_file", "_p").agg(F.count(F.lit(1)).alias("_n"))
     before = sums.select("source_file", "_p", F.coalesce(F.sum("_n").over(Window.partitionBy("source_file").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_start"))
-    n = d.withColumn("_k", F.row_number().over(w) - 1).join(F.broadcast(before), ["source_file", "_p"])  # one row for each read partition
+    n = d.withColumn("_k", F.row_number().over(w) - 1).join(before, ["source_file", "_p"])  # already partitioned like this
     return n.withColumn("original_index", F.col("_start") + F.col("_k")).withColumn("record_id", F.concat_ws("_", "source_file", F.col("original_index").cast("string"))).drop("_m", "_p", "_k", "_n", "_start")
 
 
