@@ -215,6 +215,14 @@ class Institutions:
         return best
 
 
+def bounded_list(df: DataFrame, cols: list[str], most: int = MAX_REFERENCE) -> list[tuple]:
+    """A reference list that is to be broadcast; one of more entries is refused."""
+    rows = [tuple(r) for r in df.select(*cols).orderBy(cols[0]).limit(most + 1).toLocalIterator()]
+    if len(rows) > most:
+        raise ValueError(f"a reference list of more than {most} entries: map the values with map_values first")
+    return rows
+
+
 def _list(df: DataFrame, cols: list[str]) -> list[tuple]:
     return [tuple(r) for r in df.select(*cols).orderBy(cols[0]).toLocalIterator()]
 

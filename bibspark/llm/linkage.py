@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bibspark.llm.canonical import _VOLUME, Journals
+from bibspark.llm.canonical import _VOLUME, Journals, bounded_list
 from bibspark.llm.garbled import repair
 from bibspark.llm.trie import fold
 from bibspark.operators.packed import split_field
@@ -272,7 +272,7 @@ def candidates(keyed: DataFrame) -> DataFrame:
 def link(records: DataFrame, others: DataFrame, journals: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(idx, publication_id, confidence) for all pairs that describe the same publication."""
     spark = records.sparkSession
-    refs = [tuple(r) for r in journals.select("ref_id", "journal_title", "iso_abbrev").orderBy("ref_id").toLocalIterator()]  # fixed list
+    refs = bounded_list(journals, ["ref_id", "journal_title", "iso_abbrev"])
     shared = spark.sparkContext.broadcast(refs)
     a = records.select(F.lit("b").alias("side"), F.col("idx").cast("string").alias("id"), F.col("ti").alias("t"), F.col("au").alias("a"), F.col("so").alias("j"), F.col("py").cast("double").alias("y"))
     b = others.select(F.lit("d").alias("side"), F.col("publication_id").cast("string").alias("id"), F.col("title").alias("t"), F.col("authors").alias("a"), F.col("source_title").alias("j"), F.col("pubyear").cast("double").alias("y"))

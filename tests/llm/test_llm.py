@@ -225,6 +225,13 @@ def test_a_long_list_in_shards_gives_the_same(spark):
     assert whole == shards and sum(r[3] > 0 for r in whole) == 6
 
 
+def test_a_list_to_broadcast_is_checked(spark):
+    df = spark.createDataFrame([(2, "b"), (1, "a")], "ref_id int, name string")
+    assert canonical.bounded_list(df, ["ref_id", "name"], 2) == [(1, "a"), (2, "b")]
+    with pytest.raises(ValueError):
+        canonical.bounded_list(df, ["ref_id", "name"], 1)
+
+
 # --- 3 names
 
 
