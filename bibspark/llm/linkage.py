@@ -159,7 +159,7 @@ def votes(a: tuple, b: tuple) -> tuple[int | None, ...]:
             over_vote = -1 if more else 1 if not over and not rest else 0
             if na or nb:
                 numbers = 1 if na == nb else -1
-    if sa and sb:
+    if len(sa) and len(sb):
         first = 1 if close(sa[0], sb[0]) else -1
         small, large = (sa, sb) if len(sa) <= len(sb) else (sb, sa)
         share = sum(any(close(w, v) for v in large) for w in small) / len(small)
@@ -299,22 +299,17 @@ def link(records: DataFrame, others: DataFrame, journals: DataFrame, threshold:
 
     pairs = candidates(candidate_keys(reps, sorted(frequent)))
     cols = ["title", "cut", "numbers", "names", "partial", "journal", "year"]
-    side = lambda s, x: reps.where(f"side = '{s}'").select(F.col("ph").alias(f"p{x}"), F.struct(*cols).alias(x))
+    side = lambda s, x: reps.where(f"side = '{s}'").select(F.col("ph").alias(f"p{x}"), *[F.col(c).alias(f"{x}_{c}") for c in cols])
     full = pairs.join(side("b", "a"), "pa").join(side("d", "b"), "pb")
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def flat(r) -> tuple:
-            r = r.asDict() if hasattr(r, "asDict") else r
-            y = r["year"]
-            return (r["title"], r["cut"], r["numbers"], list(r["names"]), r["partial"], r["journal"], None if y is None or y != y else int(y))
-
         for p in batches:
-            out = []
-            for pa, pb, x, y in zip(p["pa"], p["pb"], p["a"], p["b"]):
-                out.append((pa, pb, "".join("." if k is None else "-0+"[k + 1] for k in votes(flat(x), flat(y)))))
-            yield pd.DataFrame(out, columns=["pa", "pb", "pattern"])
+            year = lambda c: [None if y != y else int(y) for y in p[c].astype("float64")]
+            side = lambda x: zip(*[year(f"{x}_year") if c == "year" else p[f"{x}_{c}"].tolist() for c in cols])
+            marks = ["".join("." if k is None else "-0+"[k + 1] for k in votes(a, b)) for a, b in zip(side("a"), side("b"))]
+            yield pd.DataFrame({"pa": p["pa"], "pb": p["pb"], "pattern": pd.Series(marks, dtype=object)})
 
-    voted = cut(full.select("pa", "pb", "a", "b").mapInPandas(judge, "pa long, pb long, pattern string"))
+    voted = cut(full.mapInPandas(judge, "pa long, pb long, pattern string"))
     counted = voted.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).orderBy("pattern").collect()
     value = {"-": -1.0, "0": 0.0, "+": 1.0, ".": np.nan}
     pats = np.array([[value[c] for c in r.pattern] for r in counted]).reshape(len(counted), len(FUNCTIONS))

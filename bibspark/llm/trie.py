@@ -9,13 +9,18 @@ import unicodedata
 _PLAIN = str.maketrans({"ø": "o", "ł": "l", "ß": "ss", "æ": "ae", "œ": "oe", "đ": "d", "ı": "i", "þ": "th", "ð": "d", "’": "'"})
 #: One character that was lost counts as one unknown letter.
 _LOST = re.compile("�+|(?<=\\w)\\?+(?=\\w)|^\\?(?=\\w)")
+_WORDS = re.compile(r"[^\W_~]*(?:~[^\W_~]*)+|[^\W_]+")
 
 
 def fold(text: str) -> str:
     """Lower case, without accents and punctuation, lost characters as ``~``."""
+    if text.isascii():
+        t = _LOST.sub("~", text) if "?" in text else text
+        t = t.lower().replace("&", " and ")
+        return " ".join(_WORDS.findall(t))
     t = _LOST.sub("~", text)
     t = unicodedata.normalize("NFKD", t.lower().translate(_PLAIN)).replace("&", " and ")
-    return " ".join(re.findall(r"[^\W_~]*(?:~[^\W_~]*)+|[^\W_]+", "".join(c for c in t if not unicodedata.combining(c))))
+    return " ".join(_WORDS.findall("".join(c for c in t if not unicodedata.combining(c))))
 
 
 class Trie:
