@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bibspark.operators import analysis, certify, clean, compat, dedup, mapping, screening, validate
+from bibspark.plans import audit
 from bibspark.session import cut, ensure_checkpoint_dir
 from bibspark.sources import files, readers, sinks
 
@@ -34,16 +35,18 @@ class State:
     errors: list[str] = field(default_factory=list)
     warnings: list[str] = field(default_factory=list)
     log: list[dict] = field(default_factory=list)
+    audit: audit.AuditLog = field(default_factory=audit.AuditLog)
 
 
 class Pipeline:
     """``run`` stops if import or merging fails; other stages record their error and let the rest go on."""
 
-    def __init__(self, spark: SparkSession, title_threshold: float = dedup.TITLE_THRESHOLD, author_threshold: float = dedup.AUTHOR_THRESHOLD, validate_mapping: bool = False, file_count: int = 0, one_database: bool = False) -> None:
+    def __init__(self, spark: SparkSession, title_threshold: float = dedup.TITLE_THRESHOLD, author_threshold: float = dedup.AUTHOR_THRESHOLD, validate_mapping: bool = False, file_count: int = 0, one_database: bool = False, log_folder: str | None = None) -> None:
         self.spark = spark
         self.thresholds = title_threshold, author_threshold
         self.validate_mapping = validate_mapping
         self.file_count, self.one_database = file_count, one_database
+        self.logger = audit.logger(log_folder)
 
     def _stages(self):
         yield "deduplicate", self._dedup
@@ -67,15 +70,21 @@ class Pipeline:
         return s
 
     def _timed(self, s: State, name: str, f, must: bool = False) -> None:
-        began = time.time()
+        began, error = time.time(), ""
+        self.logger.info("%s started", name)
         try:
             f(s)
-            s.log.append({"stage": name, "status": "PASS", "seconds": round(time.time() - began, 3)})
         except Exception as e:
+            error = str(e)
             s.errors.append(f"{name}: {e}")
-            s.log.append({"stage": name, "status": "FAIL", "seconds": round(time.time() - began, 3)})
+            self.logger.exception("%s failed", name)
             if must:
                 raise
+        finally:
+            status, seconds = "FAIL" if error else "PASS", round(time.time() - began, 3)
+            s.log.append({"stage": name, "status": status, "seconds": seconds})
+            s.audit.add(name, status, seconds=seconds, **({"error": error} if error else {}))
+            self.logger.info("%s %s in %s s", name, status, seconds)
 
     def _import(self, s: State, source: str | DataFrame) -> None:
         if isinstance(source, str):
@@ -100,10 +109,12 @@ class Pipeline:
 
     def _mapping(self, s: State) -> None:
         db = mapping.detect_database(s.imported.columns)
+        if db == "Unknown":
+            s.counts["mapping"] = {"source_database": db, "overall_status": "WARNING"}
+            s.warnings.append("mapping: no mapping for the columns of an unknown database")
+            return
         f, k = mapping.field_results(s.cleaned, db), mapping.preservation(s.imported, s.cleaned)
         s.counts["mapping"] = mapping.scores(f, k).first().asDict()
-        if db == "Unknown":
-            s.warnings.append("mapping: the database of the columns is unknown")
         left = self.spark.createDataFrame(mapping.unmapped_columns(s.imported.columns, db), "column_name string, classification string, suggestion string")
         s.mapping = {"Summary": mapping.scores(f, k), "Field_Mapping": f, "Unmapped_Columns": left, "Metadata": k}
 
@@ -161,6 +172,8 @@ class Pipeline:
             sinks.write_mapping_report(s.mapping, path("Mapping_Report"))
         sinks.write_json(spark, s.certification, path("R_Validation.json"))
         files.write_text(spark, path("PRISMA_Flow.txt"), sinks.flow_text(s.counts, s.counts.get("duplicates", {})))
+        files.write_text(spark, path("Pipeline_Summary.txt"), sinks.summary_text(s.counts, len(s.errors)))
+        s.audit.save(spark, path("Run_History.json"))
         rows = lambda d: [d] if d else []
         flat = {k: v for k, v in s.certification.items() if k not in ("analysis", "written")}
         reports = {

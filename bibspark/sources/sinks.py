@@ -127,6 +127,17 @@ def flow_text(counts: dict, duplicates: dict[str, int]) -> str:
     return "\n".join(f"{name:<24}{n:>12,}" for name, n in rows) + "\n"
 
 
+def summary_text(counts: dict, errors: int) -> str:
+    """One line for each count of a finished run."""
+    issues = counts.get("issues", {})
+    rows = [
+        ("Imported", counts.get("imported", 0)), ("Merged", counts.get("merged", 0)), ("Duplicates", sum(counts.get("duplicates", {}).values())), ("After deduplication", counts.get("after_dedup", 0)),
+        ("Validation issues", sum(issues.values())), ("Metadata repairs", counts.get("repairs", 0)), ("After cleaning", counts.get("after_cleaning", 0)), ("Included", counts.get("included", 0)),
+        ("Synchronized", "yes" if counts.get("synchronized") else "no"), ("Errors", errors),
+    ]
+    return "\n".join(f"{name:<24}{n:>12}" for name, n in rows) + "\n"
+
+
 def write_mapping_report(sheets: dict[str, DataFrame], folder: str) -> None:
     """One CSV for each sheet: summary, field mapping, unmapped columns, metadata preservation."""
     for name, df in sheets.items():
@@ -134,7 +145,7 @@ def write_mapping_report(sheets: dict[str, DataFrame], folder: str) -> None:
 
 
 #: What an export leaves.
-OUTPUTS = ("Master_Dataset.csv", "Bibliometrix_Compatible.csv", "Bibliometrix_Compatible.txt", "Included_Studies.csv", "Excluded_Studies.csv", "Screening_Log.csv", "Validation_Issues.parquet", "Provenance_Log.json", "Audit_Log.json", "R_Validation.json", "PRISMA_Flow.txt", "Validation_Report.md", "Screening_Report.md", "Certification_Report.md", "Execution_Summary.md")
+OUTPUTS = ("Master_Dataset.csv", "Bibliometrix_Compatible.csv", "Bibliometrix_Compatible.txt", "Included_Studies.csv", "Excluded_Studies.csv", "Screening_Log.csv", "Validation_Issues.parquet", "Provenance_Log.json", "Audit_Log.json", "R_Validation.json", "PRISMA_Flow.txt", "Pipeline_Summary.txt", "Run_History.json", "Validation_Report.md", "Screening_Report.md", "Certification_Report.md", "Execution_Summary.md")
 
 
 def verify_outputs(spark: SparkSession, folder: str, names: list[str] | tuple[str, ...] = OUTPUTS) -> dict[str, bool]:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from bibspark.functions import text as X
 from bibspark.functions.similarity import register
 from bibspark.operators import certify, clean, compat, mapping, screening, validate
+from bibspark.plans import audit
 from bibspark.plans.pipeline import Pipeline
 from bibspark.plans.queries import records
 from bibspark.sources import discovery, readers, sinks
@@ -133,6 +134,31 @@ def test_pipeline_over_a_folder(spark, tmp_path):
     assert sinks.read_audit(spark, os.path.join(out, "none.json")) == []
 
 
+def test_audit_log_and_log_files(spark, tmp_path):
+    path = str(tmp_path / "h.json")
+    a = audit.AuditLog()
+    a.add("import", "PASS", records=3)
+    a.add("clean", "FAIL", error="x")
+    assert [e["action"] for e in a.of("clean")] == ["FAIL"] and len(a.of()) == 2
+    a.save(spark, path)
+    a.save(spark, path)
+    assert len(audit.load(spark, path)) == 4 and audit.load(spark, str(tmp_path / "none")) == []
+    (tmp_path / "broken.json").write_text("{")
+    assert audit.load(spark, str(tmp_path / "broken.json")) == []
+    log = audit.logger(str(tmp_path / "logs"), "bibspark-test")
+    log.info("hello %s", "x")
+    assert json.loads((tmp_path / "logs" / "bibspark-test.jsonl").read_text().splitlines()[0])["message"] == "hello x"
+    assert audit.plain([{"a": [1, 2], "b": None, "c": True, "d": {"e": 1}}]) == {"a": "[1, 2]", "b": "", "c": True, "d": {"e": 1}} and audit.plain([]) is None is audit.plain("x")
+
+
+def test_pipeline_on_columns_of_no_known_database(spark, tmp_path):
+    df = spark.createDataFrame([(1, "r", "f", "v")], "idx long, record_id string, source_file string, Col1 string")
+    s = Pipeline(spark, validate_mapping=True).run(df)
+    assert s.counts["mapping"]["overall_status"] == "WARNING" and any("unknown database" in w for w in s.warnings)
+    # a stage that fails is in the errors and in the audit log, and the rest goes on
+    assert s.errors and {e["stage"] for e in s.audit.entries if e["action"] == "FAIL"} == {x.split(":")[0] for x in s.errors}
+
+
 def test_discovery(spark, tmp_path):
     sub = tmp_path / "x"
     sub.mkdir()
