@@ -43,3 +43,14 @@ def occurring_together(df: DataFrame, values: Column) -> DataFrame:
     v = df.select(F.array_sort(F.array_distinct(values)).alias("v")).where(F.size("v") > 1)
     first = v.select(F.posexplode("v").alias("i", "a"), "v")
     return first.select("a", F.explode(F.slice("v", F.col("i") + 2, F.size("v"))).alias("b")).groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
+
+
+def coupling(df: DataFrame, values: Column) -> DataFrame:
+    """(idx, values, links): for each document the values it holds, and how many times other documents hold them.
+
+    The links of bibliographic coupling by document: their number is added up from the frequency of each value,
+    so a value that a third of all documents hold costs one row a document and no pair of documents is made.
+    """
+    each = df.select("idx", F.explode(F.array_distinct(values)).alias("v"))
+    often = each.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+    return each.join(often, "v").groupBy("idx").agg(F.count(F.lit(1)).alias("values"), F.sum(F.col("n") - 1).alias("links"))

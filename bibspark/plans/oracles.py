@@ -370,5 +370,6 @@ SELECT cov AS field_coverage_score, round(cov * 0.3 + populated * 25 + passed /
         "coauthor_pairs": together("au"),
         "keyword_cooccurrence": together("de"),
         "cocitation_pairs": together("cr"),
+        "reference_coupling": f"WITH v AS (SELECT idx, unnest(list_distinct({parts('cr')})) AS x FROM bib_records), n AS (SELECT x, count(*) AS n FROM v GROUP BY x) SELECT idx, count(*) AS values, sum(n - 1)::BIGINT AS links FROM v JOIN n USING (x) GROUP BY idx",
         "flagship": flag,
     }

@@ -392,6 +392,10 @@ def cocitation_pairs(spark, d):
     return analysis.occurring_together(records(spark, d), X.parts("CR"))
 
 
+def reference_coupling(spark, d):
+    return analysis.coupling(records(spark, d), X.parts("CR"))
+
+
 # --- arriving records
 
 
@@ -437,5 +441,5 @@ def queries() -> dict[str, Query]:
         clean_doi clean_keywords clean_authors clean_years normal_titles fixed_dashes squeezed_text countries cleaned_records cleaning_actions country_counts keyword_counts journal_counts
         compat_records generated_ut author_format field_profile mapping_field_results mapping_field_results_dimensions metadata_preservation coverage_and_quality unmapped_columns
         layer1_checks author_format_sample year_range doi_coverage screening_log excluded_studies prisma_counts flow_by_file sync_check quality_score wos_text_lines wos_record_roundtrip
-        biblio_analysis top_authors top_sources top_keywords top_countries annual_production most_cited coauthor_pairs keyword_cooccurrence cocitation_pairs stream_arrivals stream_accepted p1_found""".split()
+        biblio_analysis top_authors top_sources top_keywords top_countries annual_production most_cited coauthor_pairs keyword_cooccurrence cocitation_pairs reference_coupling stream_arrivals stream_accepted p1_found""".split()
     return {n: globals()[n] for n in names} | {"flagship": flagship}
