@@ -511,7 +511,7 @@ def test_sql_of_this_package(spark, data):
     from bibspark.llm.sql import oracle_sql
 
     con = duckdb.connect()
-    for t in ("bib_records", "duplicate_mappings", "source_files"):
+    for t in ("bib_records", "duplicate_mappings", "source_files", "documents", "mix_targets", "pack_specs"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{data}/{t}.parquet')")
     for name, sql in oracle_sql().items():
         got = queries()[name](spark, data)
