@@ -332,6 +332,29 @@ def test_label_model_learns_who_is_right():
     assert len(linkage.fit_label_model(np.zeros((0, 8)), np.zeros(0))) == 0
 
 
+def _plans(spark, run):
+    """The plans of all that ``run`` executes, as they ran."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    before = store.executionsCount()
+    run()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    done = store.executionsList()
+    return [done.apply(k).physicalPlanDescription() for k in range(min(before, done.size()), done.size())]
+
+
+def test_p3_sends_no_table_to_the_driver(spark):
+    rows = [(1, "person", "Kuzmelanov, I.", "Kuzmelanov, Ivan", "Univ Somewhere, Riga"), (2, "person", "Kuzmelanow, I.", "Kuzmelanow, Ivan", "Univ Somewhere, Riga"), (3, "person", "Kuzmelanov, Ivan", None, None)]
+    m = spark.createDataFrame(rows, "mention_id long, kind string, au string, af string, c1 string")
+    inst = spark.createDataFrame([(5001, "Institute of Things", None, "Bonn", "Germany")], "ref_id int, org_name string, acronym string, city string, country string")
+    jour = spark.createDataFrame([(1001, "Annals of Things", "Ann. Things", None)], "ref_id int, journal_title string, iso_abbrev string, issn string")
+    found = []
+    plans = _plans(spark, lambda: found.extend(map(tuple, names.p3_found(m, inst, jour).collect())))
+    assert sorted(found) == [(1, 2), (1, 3), (2, 3)]
+    assert len(plans) > 20 and any("SortMergeJoin" in p for p in plans)
+    assert not any("BroadcastExchange" in p for p in plans)
+
+
 def test_link_edges(spark):
     b = spark.createDataFrame([(1, "Soil carbon storage in Zeltosaburg meadows", "Aa, B", "J", 2001), (2, None, None, None, None), (3, "Soil carbon storage in Zeltosaburg meadows", "Aa, B", "J", 2001)], "idx long, ti string, au string, so string, py int")
     d = spark.createDataFrame([("p", "SOIL CARBON STORAGE IN ZELTOSABURG MEADOWS", "Aa B", "J", 2001), ("q", None, None, None, None)], "publication_id string, title string, authors string, source_title string, pubyear int")
