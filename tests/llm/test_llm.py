@@ -1,5 +1,6 @@
 import hashlib
 import random
+import re
 
 import numpy as np
 import pytest
@@ -355,6 +356,17 @@ def test_p3_sends_no_table_to_the_driver(spark):
     assert not any("BroadcastExchange" in p for p in plans)
 
 
+def test_p7_sends_no_table_to_the_driver(spark):
+    b = spark.createDataFrame([(1, "Nitrate removal by willow roots in Ostrava", "Kusel, M.; Tonar, B.", "Ann. Things", 2001)], "idx long, ti string, au string, so string, py int")
+    d = spark.createDataFrame([("p1", "Nitrate removal by willow roots in Ostrava", "Kusel, M.; Tonar, B.", "Ann. Things", 2001)], "publication_id string, title string, authors string, source_title string, pubyear int")
+    jour = spark.createDataFrame([(1001, "Annals of Things", "Ann. Things")], "ref_id int, journal_title string, iso_abbrev string")
+    found = []
+    plans = _plans(spark, lambda: found.extend(linkage.link(b, d, jour, threshold=0.0).collect()))
+    assert [(r.idx, r.publication_id) for r in found] == [(1, "p1")]
+    keys = {k for p in plans for k in re.findall(r"\) BroadcastHashJoin.*\nLeft keys \[\d+\]: \[(\w+)#", p)}
+    assert any("SortMergeJoin" in p for p in plans) and keys <= {"pattern"}  # the patterns of votes are bounded
+
+
 def test_link_edges(spark):
     b = spark.createDataFrame([(1, "Soil carbon storage in Zeltosaburg meadows", "Aa, B", "J", 2001), (2, None, None, None, None), (3, "Soil carbon storage in Zeltosaburg meadows", "Aa, B", "J", 2001)], "idx long, ti string, au string, so string, py int")
     d = spark.createDataFrame([("p", "SOIL CARBON STORAGE IN ZELTOSABURG MEADOWS", "Aa B", "J", 2001), ("q", None, None, None, None)], "publication_id string, title string, authors string, source_title string, pubyear int")
