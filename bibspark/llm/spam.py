@@ -4,7 +4,8 @@ Phrase shingles of one and two words are exploded from the whole text of every p
 included, and the distinct hosts of each phrase are counted over all pages. A page is flagged if both kinds
 of evidence agree: it is stitched together from phrases that other hosts have as well, and it has the form
 of lists: most of its words stand in lists rather than in sentences (links, tags, offers, terms in a row),
-or one term makes up the text.
+or one term makes up the text. Of a page of lists the phrases count, not their single words, which nearly all
+are on other hosts.
 
 Phrases travel as 64-bit hashes. A phrase is known elsewhere if its smallest and its largest host differ,
 which is to have two distinct hosts; both combine before the shuffle, so a phrase that a third of all
@@ -139,14 +140,18 @@ class _Hashes(dict):
 
 
 def shingles(text: str | None, known: _Hashes) -> np.ndarray:
-    """Hashes of the phrases of one and of two neighbouring words, as often as they occur."""
+    """Hashes, as often as they occur: of words, which are odd, and of phrases, which are even: two neighbouring words, or one that stands alone."""
     if not text:
         return np.zeros(0, np.int64)
     t = _MARKUP.sub(lambda m: f" ; {' ; '.join(_URL.findall(m.group()))} ; ", text) if "<" in text else text
     one = np.array([known[w] for w in _TOKEN.findall(t.lower())], np.uint64)
     word = one != 0
-    two = (one[:-1] * np.uint64(0x9E3779B97F4A7C15) ^ one[1:])[word[:-1] & word[1:]]
-    return np.concatenate([one[word], two]).view(np.int64)
+    both = word[:-1] & word[1:]
+    two = (one[:-1] * np.uint64(0x9E3779B97F4A7C15) ^ one[1:])[both]
+    alone = word.copy()
+    alone[:-1] &= ~both
+    alone[1:] &= ~both
+    return np.concatenate([one[word], np.concatenate([one[alone], two]) & ~np.uint64(1)]).view(np.int64)
 
 
 def suspicious(total: int, listed: int, term: float, word: float) -> bool:
@@ -185,6 +190,9 @@ def spam_pages(documents: DataFrame) -> DataFrame:
     seen = cut(judge(documents))
     exploded = seen.select("host", F.explode("phrases").alias("phrase"))
     wide = exploded.groupBy("phrase").agg(F.min("host").alias("a"), F.max("host").alias("b")).where("a <> b").select("phrase", F.lit(1).alias("known"))
-    mine = seen.where("form").select("doc_id", F.explode(F.arrays_zip("phrases", "times")).alias("x")).select("doc_id", F.col("x.phrases").alias("phrase"), F.col("x.times").alias("n"))
+    # nearly every word of any text is on other hosts: single words tell something of a page of one term only
+    repeated = (F.col("term") >= MIN_TERM) | (F.col("word") >= MIN_WORD)
+    mine = seen.where("form").select("doc_id", repeated.alias("repeated"), F.explode(F.arrays_zip("phrases", "times")).alias("x")).select("doc_id", "repeated", F.col("x.phrases").alias("phrase"), F.col("x.times").alias("n"))
+    mine = mine.where("repeated OR phrase & 1 = 0").drop("repeated")
     stitched = mine.join(wide, "phrase", "left").groupBy("doc_id").agg((F.sum(F.col("n") * F.coalesce("known", F.lit(0))) / F.sum("n")).alias("stitched"))
     return stitched.where(F.col("stitched") >= MIN_STITCHED).select("doc_id")

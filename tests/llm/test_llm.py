@@ -552,3 +552,15 @@ def test_sql_of_this_package(spark, data):
         got = queries()[name](spark, data)
         assert sorted(tuple(r) for r in got.select(*sorted(got.columns)).collect()) == sorted(con.execute(f"SELECT {', '.join(sorted(got.columns))} FROM ({sql})").fetchall())
 
+
+def test_p10_list_of_phrases_that_no_other_host_has(spark):
+    words = [a + b for a in ("ka", "lo", "mi", "ru", "te") for b in ("bar", "den", "fos", "gul", "nim")]
+    own = "; ".join(f"{a} {b}" for a, b in zip(words, words[7:] + words[:7]))
+    prose = [f"We saw that the {w} is in the {v} of the year and it was not as they had said." for w, v in zip(words, words[11:] + words[:11])]
+    rows = [(1, own, "one.example")] + [(10 + k, t, f"h{k}.example") for k, t in enumerate(prose)]
+    schema = "doc_id long, text string, site string"
+    assert spam.suspicious(*spam.evidence(own))
+    # its words are all on other hosts, its phrases aren't
+    assert spam.spam_pages(spark.createDataFrame(rows, schema)).count() == 0
+    more = [*rows, (2, own, "two.example")]
+    assert sorted(r.doc_id for r in spam.spam_pages(spark.createDataFrame(more, schema)).collect()) == [1, 2]
